@@ -143,3 +143,303 @@ def q_growth_fact_rows(spark, sf_dir):
 @query("growth_breakdowns")
 def q_growth_breakdowns(spark, sf_dir):
     return gold.growth_breakdowns(Model(spark, sf_dir).silver)
+
+
+# --- parameters of the registered checks (whole tables; windows span all data) ---
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from marketlake.functions import (  # noqa: E402
+    dim_normalize, is_utc_like, lenient_float_pull, utc_to_business_date,
+)
+from marketlake.functions.kpi import attribution_model_of, base_kpi_of, is_ad_grain  # noqa: E402
+from marketlake.operators import marts, pull as pull_ops, quality, reports, upserts  # noqa: E402
+
+ALL_FROM, ALL_TO = _dt.date(1990, 1, 1), _dt.date(2030, 12, 31)
+AS_OF = _dt.date(2001, 8, 2)
+LOOKBACK_DAYS = 14
+REPLACE_FROM, REPLACE_TO = _dt.date(1996, 1, 1), _dt.date(1996, 3, 31)
+LATER_FETCH = "2026-03-01T00:00:00+00:00"
+PARITY_DAY = _dt.date(1996, 1, 10)
+TOP_N = 10
+
+
+class Warehouse:
+    """Warehouse-path frames (raw -> staging -> intermediate -> marts)."""
+
+    def __init__(self, spark, sf_dir):
+        self.inp = Inputs(spark, sf_dir)
+
+    @property
+    def stg_perf(self):
+        return marts.stage_performance(self.inp.raw_perf)
+
+    @property
+    def stg_events(self):
+        return marts.stage_events(self.inp.raw_events)
+
+    @property
+    def perf_metrics(self):
+        return marts.daily_performance_metrics(self.stg_perf)
+
+    @property
+    def event_metrics(self):
+        return marts.daily_event_metrics(self.stg_events)
+
+    @property
+    def daily(self):
+        return marts.daily_acquisition(self.perf_metrics, marts.event_pivot(self.event_metrics))
+
+
+@query("stage_performance")
+def q_stage_performance(spark, sf_dir):
+    return Warehouse(spark, sf_dir).stg_perf
+
+
+@query("stage_events")
+def q_stage_events(spark, sf_dir):
+    return Warehouse(spark, sf_dir).stg_events
+
+
+@query("daily_event_metrics")
+def q_daily_event_metrics(spark, sf_dir):
+    return Warehouse(spark, sf_dir).event_metrics
+
+
+@query("daily_performance_metrics")
+def q_daily_performance_metrics(spark, sf_dir):
+    return Warehouse(spark, sf_dir).perf_metrics
+
+
+@query("event_pivot")
+def q_event_pivot(spark, sf_dir):
+    return marts.event_pivot(Warehouse(spark, sf_dir).event_metrics)
+
+
+@query("daily_acquisition")
+def q_daily_acquisition(spark, sf_dir):
+    return Warehouse(spark, sf_dir).daily
+
+
+@query("weekly_acquisition")
+def q_weekly_acquisition(spark, sf_dir):
+    return marts.weekly_acquisition(Warehouse(spark, sf_dir).daily)
+
+
+@query("monthly_acquisition")
+def q_monthly_acquisition(spark, sf_dir):
+    return marts.monthly_acquisition(Warehouse(spark, sf_dir).daily)
+
+
+@query("validate_volume")
+def q_validate_volume(spark, sf_dir):
+    return quality.validate_volume(Warehouse(spark, sf_dir).daily)
+
+
+@query("validate_duplicate_keys")
+def q_validate_duplicate_keys(spark, sf_dir):
+    return quality.validate_duplicate_keys(Warehouse(spark, sf_dir).daily)
+
+
+@query("validate_null_rates")
+def q_validate_null_rates(spark, sf_dir):
+    return quality.validate_null_rates(Warehouse(spark, sf_dir).daily)
+
+
+@query("validate_top_campaigns")
+def q_validate_top_campaigns(spark, sf_dir):
+    return quality.validate_top_campaigns(Warehouse(spark, sf_dir).daily)
+
+
+@query("validate_reconcile")
+def q_validate_reconcile(spark, sf_dir):
+    m = Model(spark, sf_dir)
+    return quality.validate_reconcile(gold.mcp_day(m.silver), gold.pull_day(m.pull, m.tz))
+
+
+# --- reports ------------------------------------------------------------------
+
+@query("report_summary")
+def q_report_summary(spark, sf_dir):
+    return reports.report_summary(Model(spark, sf_dir).silver, ALL_FROM, ALL_TO)
+
+
+@query("report_daily_cac")
+def q_report_daily_cac(spark, sf_dir):
+    return reports.report_daily_cac(Model(spark, sf_dir).silver, ALL_FROM, ALL_TO)
+
+
+@query("report_weekly_cac")
+def q_report_weekly_cac(spark, sf_dir):
+    return reports.report_weekly_cac(Model(spark, sf_dir).silver, ALL_FROM, ALL_TO)
+
+
+def _top(entity):
+    def fn(spark, sf_dir):
+        return reports.top_entities(Model(spark, sf_dir).silver, ALL_FROM, ALL_TO, entity, TOP_N)
+    return fn
+
+
+for _name, _entity in (("top_media", "media_source"), ("top_campaigns", "campaign"),
+                       ("top_adsets", "adset"), ("top_ads", "ad")):
+    QUERIES[_name] = _top(_entity)
+
+
+@query("growth_totals_summary")
+def q_growth_totals_summary(spark, sf_dir):
+    return reports.growth_totals_summary(Model(spark, sf_dir).daily_totals, ALL_FROM, ALL_TO)
+
+
+@query("freshness")
+def q_freshness(spark, sf_dir):
+    return reports.freshness(Model(spark, sf_dir).daily_totals, AS_OF)
+
+
+@query("lookback_window")
+def q_lookback_window(spark, sf_dir):
+    from marketlake.functions import lookback_bounds
+    lo, hi = lookback_bounds(AS_OF, LOOKBACK_DAYS)
+    return Model(spark, sf_dir).daily_totals.filter(F.col("fact_date").between(F.lit(lo), F.lit(hi)))
+
+
+# --- write side ---------------------------------------------------------------
+
+@query("pull_dedupe")
+def q_pull_dedupe(spark, sf_dir):
+    return pull_ops.pull_dedupe(Inputs(spark, sf_dir).pull_refetch)
+
+
+@query("cost_preserving_replace")
+def q_cost_preserving_replace(spark, sf_dir):
+    inp = Inputs(spark, sf_dir)
+    return pull_ops.cost_preserving_replace(inp.pull, inp.pull_new, REPLACE_FROM, REPLACE_TO)
+
+
+@query("dates_with_cost")
+def q_dates_with_cost(spark, sf_dir):
+    return pull_ops.dates_with_cost(Inputs(spark, sf_dir).pull)
+
+
+def _reattr_fetch(pull):
+    reattr = K.DEFAULT_REPORT_SEGMENT + K.REATTR_SEGMENT_SUFFIX
+    rows = pull.filter((F.col("report_segment") == reattr)
+                       & F.col("fact_date").between(F.lit(REPLACE_FROM), F.lit(REPLACE_TO)))
+    return pull_ops.retarget_rewrite(rows).withColumn("fetched_at", F.lit(LATER_FETCH))
+
+
+@query("retarget_rewrite")
+def q_retarget_rewrite(spark, sf_dir):
+    return _reattr_fetch(Inputs(spark, sf_dir).pull)
+
+
+@query("reattr_replace")
+def q_reattr_replace(spark, sf_dir):
+    p = Inputs(spark, sf_dir).pull
+    return pull_ops.reattr_replace(p, _reattr_fetch(p), REPLACE_FROM, REPLACE_TO)
+
+
+@query("backfill_pull_dims")
+def q_backfill_pull_dims(spark, sf_dir):
+    from marketlake.functions import nullify_blank
+    p = Inputs(spark, sf_dir).pull
+    legacy = p.select(*[nullify_blank(c).alias(c) if c in pull_ops.PULL_DIMS else F.col(c) for c in p.columns])
+    return pull_ops.backfill_pull_dims(legacy)
+
+
+def _odd_day():
+    return F.dayofmonth("fact_date") % 2 == 1
+
+
+@query("source_upsert")
+def q_source_upsert(spark, sf_dir):
+    mcp = Inputs(spark, sf_dir).mcp.withColumn("ingest_seq", F.lit(1))
+    later = (mcp.filter(_odd_day()).withColumn("metric_value", F.col("metric_value") + 1)
+             .withColumn("fetched_at", F.concat("fetched_at", F.lit("-refetch"))).withColumn("ingest_seq", F.lit(2)))
+    return upserts.source_upsert(mcp, later)
+
+
+@query("coalesce_upsert")
+def q_coalesce_upsert(spark, sf_dir):
+    s = Model(spark, sf_dir).silver
+    later = (s.filter(_odd_day()).withColumn("spend", F.col("spend") + 1)
+             .withColumn("arpu_ltv", F.lit(None).cast("double")).withColumn("fetched_at", F.lit(LATER_FETCH)))
+    return upserts.coalesce_upsert(s, later)
+
+
+@query("silver_window_rebuild")
+def q_silver_window_rebuild(spark, sf_dir):
+    m = Model(spark, sf_dir)
+    rebuilt = silver.marketing_fact_daily(m.inp.mcp.filter(_odd_day()), m.tz, REPLACE_FROM, REPLACE_TO)
+    return silver.silver_window_rebuild(m.silver, rebuilt, REPLACE_FROM, REPLACE_TO, K.SRC_MCP)
+
+
+@query("backfill_attribution_model")
+def q_backfill_attribution_model(spark, sf_dir):
+    s = Model(spark, sf_dir).silver
+    legacy = s.withColumn("ingest_seq", F.when(F.col("attribution_model") == K.MODEL_LTV, 0).otherwise(1)) \
+        .drop("attribution_model")
+    return silver.backfill_attribution_model(legacy).drop("ingest_seq")
+
+
+@query("grain_fallback")
+def q_grain_fallback(spark, sf_dir):
+    mcp = Inputs(spark, sf_dir).mcp
+    rank = (F.when(F.col("ad").isNotNull(), 3).when(F.col("adset").isNotNull(), 0)
+            .when(F.col("campaign").isNotNull(), 1).otherwise(2))
+    return silver.grain_fallback(mcp.withColumn("grain_rank", rank))
+
+
+def _parity_right(s):
+    return (s.filter(F.coalesce(F.col("media_source"), F.lit("")) != "ms_1")
+            .withColumn("spend", F.when(F.col("fact_date") == F.lit(PARITY_DAY), F.col("spend") + 1)
+                        .otherwise(F.col("spend"))))
+
+
+PARITY_KEYS_MODEL = (*quality.PARITY_KEYS, "attribution_model")
+
+
+@query("export_parity")
+def q_export_parity(spark, sf_dir):
+    s = Model(spark, sf_dir).silver
+    return quality.export_parity(s, _parity_right(s), keys=PARITY_KEYS_MODEL)
+
+
+# --- column-level operators over whole tables --------------------------------
+
+@query("kpi_attribution")
+def q_kpi_attribution(spark, sf_dir):
+    mcp = Inputs(spark, sf_dir).mcp
+    return mcp.groupBy(
+        "kpi_name", attribution_model_of("kpi_name").alias("attribution_model"),
+        base_kpi_of("kpi_name").alias("base_kpi"),
+        F.when(is_ad_grain("kpi_name"), F.lit("ad")).otherwise(F.lit("adset")).alias("grain"),
+    ).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("dim_normalize")
+def q_dim_normalize(spark, sf_dir):
+    stg = Warehouse(spark, sf_dir).stg_perf
+    return stg.select("report_date", *[dim_normalize(c).alias(c) for c in ("media_source", "campaign", "platform")])
+
+
+@query("lenient_float_pull")
+def q_lenient_float_pull(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw_perf
+    txt = F.get_json_object("_payload", "$.clicks")
+    return raw.select("_extract_date", txt.alias("clicks_text"), lenient_float_pull(txt).alias("clicks"))
+
+
+@query("utc_to_business_date")
+def q_utc_to_business_date(spark, sf_dir):
+    mcp = Inputs(spark, sf_dir).mcp
+    return mcp.groupBy("fact_date").agg(F.count(F.lit(1)).alias("row_count")).select(
+        "fact_date", utc_to_business_date("fact_date", K.DEFAULT_BUSINESS_TZ).alias("business_date"), "row_count")
+
+
+@query("is_utc_like")
+def q_is_utc_like(spark, sf_dir):
+    p = Inputs(spark, sf_dir).pull
+    return p.groupBy("timezone").agg(F.count(F.lit(1)).alias("row_count")).select(
+        "timezone", is_utc_like("timezone").alias("utc_like"), "row_count")
