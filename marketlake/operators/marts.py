@@ -20,8 +20,19 @@ EVENT_COLS = ("af_start_trial", "af_subscribe", "af_tutorial_completion", "rc_tr
 _SQL_NUMBER = r"^\s*[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$|^(?i)\s*[+-]?(?:inf|infinity|nan)\s*$"
 
 
+PERF_FIELDS = (*RAW_DIMS, *PERF_METRICS)
+EVENT_FIELDS = (*RAW_DIMS, "event_name", "event_count", "revenue")
+
+
+def _parsed(raw: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """One JSON parse per row: every field read as text (numbers keep their literal text,
+    JSON null -> NULL, nested values -> JSON text), like a JSON 'extract string'."""
+    schema = ", ".join(f"`{f}` string" for f in fields)
+    return raw.withColumn("_p", F.from_json(F.col("_payload"), schema))
+
+
 def _field(name: str) -> Column:
-    return F.get_json_object(F.col("_payload"), f"$.{name}")
+    return F.col("_p")[name]
 
 
 def try_double(text: Column) -> Column:
@@ -36,7 +47,7 @@ def _lineage(raw: DataFrame) -> list[Column]:
 def stage_performance(raw: DataFrame) -> DataFrame:
     """Typed view over the performance payload."""
     tail = [F.col("_row_hash")] if "_row_hash" in raw.columns else []
-    return raw.select(
+    return _parsed(raw, PERF_FIELDS).select(
         *_lineage(raw),
         F.col("_extract_date").alias("report_date"),
         *[_field(d).alias(d) for d in RAW_DIMS],
@@ -48,7 +59,7 @@ def stage_performance(raw: DataFrame) -> DataFrame:
 def stage_events(raw: DataFrame) -> DataFrame:
     """Typed view over the in-app-event payload."""
     tail = [F.col("_row_hash")] if "_row_hash" in raw.columns else []
-    return raw.select(
+    return _parsed(raw, EVENT_FIELDS).select(
         *_lineage(raw),
         F.col("_extract_date").alias("report_date"),
         *[_field(d).alias(d) for d in RAW_DIMS],
