@@ -78,7 +78,7 @@ RETARGETING_AD_DEFAULT = "retargeting"
 REPORT_PERFORMANCE = "aggregated_performance"
 REPORT_EVENTS = "in_app_events"
 REPORT_COHORT_REVENUE = "cohort_revenue"
-KNOWN_RAW_REPORTS = (REPORT_PERFORMANCE, REPORT_EVENTS)
+KNOWN_RAW_REPORTS = (REPORT_PERFORMANCE, REPORT_EVENTS, REPORT_COHORT_REVENUE)
 
 #: Label used for unknown entities in top-N reports.
 UNKNOWN_ENTITY = "(unknown)"
