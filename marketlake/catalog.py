@@ -443,3 +443,177 @@ def q_is_utc_like(spark, sf_dir):
     p = Inputs(spark, sf_dir).pull
     return p.groupBy("timezone").agg(F.count(F.lit(1)).alias("row_count")).select(
         "timezone", is_utc_like("timezone").alias("utc_like"), "row_count")
+
+
+# --- files, exports, stream: data Spark derives from the tables, landed in the
+# --- session's shared checkpoint folder, then read back by the real scan -------
+
+import uuid as _uuid  # noqa: E402
+
+from marketlake.session import scratch_path  # noqa: E402
+from marketlake.sources import export, mcp_text, pull_csv, raw_json  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, f"{name}-{_uuid.uuid4().hex}")
+
+
+def _raw_rows(inp):
+    perf = inp.raw_perf.select(F.lit(K.REPORT_PERFORMANCE).alias("report_name"), "_extract_date", "_payload")
+    ev = inp.raw_events.select(F.lit(K.REPORT_EVENTS).alias("report_name"), "_extract_date", "_payload")
+    return perf.unionByName(ev)
+
+
+_LANDINGS: dict[tuple[str, str], str] = {}
+
+
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p.suffix("/_SUCCESS"))
+
+
+def land_raw(spark, sf_dir) -> str:
+    """Land both raw reports as line-delimited JSON under <root>/report_name=<r>/dt=<d>/.
+    The landing is immutable data derived from the tables, so the queries of one session
+    share it (one write per input directory)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _LANDINGS and _exists(spark, _LANDINGS[key]):
+        return _LANDINGS[key]
+    root = _scratch(spark, "landing")
+    (_raw_rows(Inputs(spark, sf_dir))
+     .select("report_name", F.date_format("_extract_date", "yyyy-MM-dd").alias("dt"), F.col("_payload").alias("value"))
+     # one file per report and day (like the vendor drop), written by all cores: an explicit
+     # partition count keeps AQE from coalescing the small shuffle into one writer task
+     .repartition(spark.sparkContext.defaultParallelism, "report_name", "dt")
+     .write.partitionBy("report_name", "dt").text(root))
+    _LANDINGS[key] = root
+    return root
+
+
+def _scan_landing(spark, sf_dir):
+    root = land_raw(spark, sf_dir)
+    return raw_json.raw_report_scan(spark, f"{root}/*/dt=*/*.txt", body="lines")
+
+
+@query("raw_report_scan")
+def q_raw_report_scan(spark, sf_dir):
+    return _scan_landing(spark, sf_dir).select("_report_name", "_extract_date", "_payload")
+
+
+@query("raw_lineage")
+def q_raw_lineage(spark, sf_dir):
+    return raw_json.with_lineage(_scan_landing(spark, sf_dir)).drop("_ingested_at", "_request_params")
+
+
+@query("batch_ledger")
+def q_batch_ledger(spark, sf_dir):
+    led = raw_json.batch_ledger(_scan_landing(spark, sf_dir))
+    return led.groupBy("report_name", "extract_date", "status").agg(F.sum("row_count").alias("row_count"))
+
+
+@query("raw_report_stream")
+def q_raw_report_stream(spark, sf_dir):
+    from marketlake.streaming import raw_stream
+    root = land_raw(spark, sf_dir)
+    sink, ck = _scratch(spark, "stream-sink"), _scratch(spark, "stream-ckpt")
+    raw_stream.land_raw_reports(spark, root, sink, ck, body="lines", partition_by=("_report_name",)).awaitTermination()
+    return spark.read.parquet(sink).select("_report_name", "_extract_date", "_payload")
+
+
+PULL_CSV_HEADERS = (
+    ("fact_date", "Date"), ("media_source", "Media Source (pid)"), ("campaign", "Campaign (c)"),
+    ("adset", "Adset"), ("ad", "Ad"), ("installs", "Installs"), ("clicks", "Clicks"),
+    ("impressions", "Impressions"), ("cost", "Total Cost"), ("revenue", "Total Revenue"),
+    ("af_start_trial", "af_start_trial (Unique users)"), ("af_subscribe", "af_subscribe (Unique users)"),
+    ("rc_trial_converted_event", "rc_trial_converted_event (Unique users)"),
+    ("af_tutorial_completion", "af_tutorial_completion (Unique users)"),
+    ("af_subscribe", "af_subscribe (Event counter)"),
+)
+
+
+@query("pull_csv_scan")
+def q_pull_csv_scan(spark, sf_dir):
+    root = _scratch(spark, "pull-csv")
+    p = Inputs(spark, sf_dir).pull
+    p.select(*[F.col(c).cast("string").alias(h) for c, h in PULL_CSV_HEADERS]).write.option("header", True).csv(root)
+    paths = [f"{root}/{f}" for f in _list_files(spark, root, ".csv")]
+    out = pull_csv.pull_csv_scan(spark, paths, fetched_at="2026-01-01T00:00:00+00:00")
+    return out.drop("source_payload", "fetched_at")
+
+
+def _list_files(spark, root: str, suffix: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(st.getPath().getName() for st in fs.listStatus(path) if st.getPath().getName().endswith(suffix))
+
+
+def _responses(mcp):
+    def txt(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(""))
+    text = F.concat(
+        F.lit("Result for the request. ## Data:Date,Media source,Campaign,Adset,Ad,Unique users,Cost,Installs\n"),
+        txt("fact_date"), F.lit(","), txt("media_source"), F.lit(","), txt("campaign"), F.lit(","), txt("adset"),
+        F.lit(","), txt("ad"), F.lit(","), txt("metric_value"), F.lit(","), txt("cost"), F.lit(","), txt("installs"),
+        F.lit('\n; ## Metadata:{"timezone": "UTC", "currency": "USD"}'))
+    return mcp.select("kpi_name", "fetch_window_from", "fetch_window_to", "fetched_at", text.alias("response_text"))
+
+
+@query("mcp_response_scan")
+def q_mcp_response_scan(spark, sf_dir):
+    return mcp_text.mcp_response_scan(_responses(Inputs(spark, sf_dir).mcp)).drop("raw_row_json", "raw_metadata_json")
+
+
+@query("metric_column_identify")
+def q_metric_column_identify(spark, sf_dir):
+    out = mcp_text.mcp_response_scan(_responses(Inputs(spark, sf_dir).mcp))
+    return out.groupBy("kpi_name", "metric_column").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("metric_value").alias("metric_value"),
+        F.sum("installs").alias("installs"), F.sum("cost").alias("cost"))
+
+
+def _bronze_with_period(mcp):
+    period = (F.when(F.col("kpi_name") == K.KPI_ARPU, F.lit(K.MODEL_LTV))
+              .when(F.col("kpi_name").endswith(K.KPI_ACTIVITY_SUFFIX), F.lit(K.MODEL_ACTIVITY)).otherwise(F.lit("")))
+    return mcp.withColumn("period", period).withColumn(
+        "raw_row_json", F.to_json(F.struct("media_source", "campaign", "metric_value")))
+
+
+@query("raw_export")
+def q_raw_export(spark, sf_dir):
+    root = _scratch(spark, "raw-export")
+    rows = export.raw_export_rows(_bronze_with_period(Inputs(spark, sf_dir).mcp))
+    export.write_raw_export(rows.repartition(spark.sparkContext.defaultParallelism, "report_name", "dt"), root)
+    back = raw_json.raw_report_scan(spark, f"{root}/*/dt=*/*.txt", body="lines")
+    p = F.col("_payload")
+    return back.select(
+        "_report_name", "_extract_date",
+        F.get_json_object(p, "$._request_context.kpi_name").alias("kpi_name"),
+        F.get_json_object(p, "$.row.media_source").alias("media_source"),
+        F.get_json_object(p, "$.row.metric_value").cast("double").alias("metric_value"))
+
+
+@query("fact_export")
+def q_fact_export(spark, sf_dir):
+    return export.fact_export_rows(Model(spark, sf_dir).silver)
+
+
+@query("export_summary")
+def q_export_summary(spark, sf_dir):
+    m = Model(spark, sf_dir)
+    return export.export_summary(export.raw_export_rows(_bronze_with_period(m.inp.mcp)),
+                                 export.fact_export_rows(m.silver))
+
+
+@query("gold_refresh")
+def q_gold_refresh(spark, sf_dir):
+    from marketlake.plans import gold_refresh
+    m = Model(spark, sf_dir)
+    out = gold_refresh.gold_datasets(m.pull, m.silver, m.silver_ad, m.ad_map, m.tz)
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("dataset"), "row_count")
+             for n, df in out.items()]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
