@@ -617,3 +617,80 @@ def q_gold_refresh(spark, sf_dir):
     for p in parts[1:]:
         res = res.unionByName(p)
     return res
+
+
+# --- joins and day sums as their own operators ------------------------------------
+
+@query("source_priority_join")
+def q_source_priority_join(spark, sf_dir):
+    m = Model(spark, sf_dir)
+    return gold.source_priority(m.pull, m.silver, K.MODEL_LTV, m.tz).select(
+        "fact_date", "p_spend", "m_spend", F.col("p_present").isNotNull().alias("pull_present"), "pull_wins")
+
+
+@query("pull_day")
+def q_pull_day(spark, sf_dir):
+    m = Model(spark, sf_dir)
+    return gold.pull_day(m.pull, m.tz)
+
+
+@query("mcp_day")
+def q_mcp_day(spark, sf_dir):
+    return gold.mcp_day(Model(spark, sf_dir).silver, K.MODEL_LTV)
+
+
+@query("scale_join")
+def q_scale_join(spark, sf_dir):
+    m = Model(spark, sf_dir)
+    detail = gold._detail_from_daily(m.silver, gold.ADSET, K.MODEL_LTV)
+    return gold.scale_join(detail, gold.pull_media_source_day(m.pull, m.tz)).select(
+        "fact_date", "media_source", "campaign", "adset", "spend", "m_spend", "p_spend",
+        "installs", "m_installs", "p_installs")
+
+
+@query("adset_resolve")
+def q_adset_resolve(spark, sf_dir):
+    m = Model(spark, sf_dir)
+    return gold.adset_resolve(m.silver_ad, m.ad_map, K.MODEL_LTV).select(
+        "fact_date", "media_source", "campaign", "adset", "ad", "spend", "installs")
+
+
+@query("ad_perf_join")
+def q_ad_perf_join(spark, sf_dir):
+    ev, perf = silver._ad_parts(Inputs(spark, sf_dir).mcp, None, None)
+    return silver.ad_perf_join(ev, perf).select("fact_date", "media_source", "campaign", "ad", "attribution_model",
+                                                "installs", "spend", "currency")
+
+
+@query("ad_map_lookup")
+def q_ad_map_lookup(spark, sf_dir):
+    m = Model(spark, sf_dir)
+    ev, _ = silver._ad_parts(m.inp.mcp, None, None)
+    return silver.ad_map_lookup(ev, m.ad_map).select("fact_date", "media_source", "campaign", "ad",
+                                                     "attribution_model", "adset")
+
+
+@query("mart_full_outer")
+def q_mart_full_outer(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    d = w.daily
+    return d.select("report_date", "app_key", "platform", "media_source", "campaign", "campaign_id", "adset",
+                    "adset_id", "ad", "ad_id", "country", "cost", "af_start_trial")
+
+
+@query("fact_date_fallback")
+def q_fact_date_fallback(spark, sf_dir):
+    from marketlake.functions import fact_date_fallback
+    mcp = Inputs(spark, sf_dir).mcp
+    # the row date is blank for ad-grain KPIs here, so the window decides
+    row_date = F.when(is_ad_grain("kpi_name"), F.lit("")).otherwise(F.col("fact_date").cast("string"))
+    return mcp.select("kpi_name", "fetch_window_from", "fetch_window_to", "fetched_at",
+                      fact_date_fallback(row_date, "fetch_window_from", "fetch_window_to").alias("fact_date"))
+
+
+@query("lenient_float_mcp")
+def q_lenient_float_mcp(spark, sf_dir):
+    from marketlake.functions import lenient_float_mcp
+    raw = Inputs(spark, sf_dir).raw_perf
+    txt = F.get_json_object("_payload", "$.clicks")
+    return raw.select("_extract_date", txt.alias("clicks_text"), lenient_float_mcp(txt).alias("clicks"))

@@ -49,17 +49,13 @@ def mcp_day(silver: DataFrame, model: str = K.MODEL_LTV) -> DataFrame:
 # Winner per day
 # ---------------------------------------------------------------------------
 
-def daily_totals(pull: DataFrame, silver: DataFrame, model: str = K.MODEL_LTV,
-                 tz: str = K.DEFAULT_BUSINESS_TZ) -> DataFrame:
-    """A9 (ltv) / A14 (activity).
-
-    Pull wins a day when its spend > 0, or when it has the day and the silver spend
-    (0 when absent) is 0; every metric then comes from the winner. Revenue (ltv only)
-    is always Pull's. One full outer join on fact_date replaces "union of days + two
-    left joins" (both sides are unique per date).
-    """
+def source_priority(pull: DataFrame, silver: DataFrame, model: str = K.MODEL_LTV,
+                    tz: str = K.DEFAULT_BUSINESS_TZ) -> DataFrame:
+    """Pull day sums FULL OUTER silver day sums on fact_date (both unique per date, so
+    one full outer join equals "union of days + two left joins"), with the winner flag:
+    Pull wins when its spend > 0, or when it has the day and the silver spend (0 when
+    absent) is 0."""
     ltv = model == K.MODEL_LTV
-    m_src = K.SRC_MCP if ltv else K.SRC_MCP + "_activity"
     p = pull_day(pull, tz, with_revenue=ltv)
     p = p.select("fact_date", *[F.col(c).alias("p_" + c) for c in p.columns if c != "fact_date"],
                  F.lit(True).alias("p_present"))
@@ -67,10 +63,19 @@ def daily_totals(pull: DataFrame, silver: DataFrame, model: str = K.MODEL_LTV,
     m = m.select("fact_date", *[F.col(c).alias("m_" + c) for c in m.columns if c != "fact_date"])
     j = p.join(m, "fact_date", "full_outer")
     pull_wins = (_z("p_spend") > 0) | (F.col("p_present").isNotNull() & (_z("m_spend") == 0))
-    j = j.withColumn("_pw", pull_wins)
+    return j.withColumn("pull_wins", pull_wins)
+
+
+def daily_totals(pull: DataFrame, silver: DataFrame, model: str = K.MODEL_LTV,
+                 tz: str = K.DEFAULT_BUSINESS_TZ) -> DataFrame:
+    """A9 (ltv) / A14 (activity): every metric from the day's winner (J2); revenue (ltv
+    only) is always Pull's; fetched_at is Pull's when Pull has the day."""
+    ltv = model == K.MODEL_LTV
+    m_src = K.SRC_MCP if ltv else K.SRC_MCP + "_activity"
+    j = source_priority(pull, silver, model, tz)
 
     def pick(c: str) -> Column:
-        return F.when(F.col("_pw"), _z("p_" + c)).otherwise(_z("m_" + c))
+        return F.when(F.col("pull_wins"), _z("p_" + c)).otherwise(_z("m_" + c))
 
     cols = [
         "fact_date",
@@ -87,8 +92,8 @@ def daily_totals(pull: DataFrame, silver: DataFrame, model: str = K.MODEL_LTV,
         pick("rc_trial_converted_event").alias("rc_trial_converted_event"),
         pick("af_tutorial_completion").alias("af_tutorial_completion"),
         ratio_if_positive(pick("spend"), pick("af_subscribe")).alias("cac"),
-        F.when(F.col("_pw"), F.lit(K.SRC_PULL)).otherwise(F.lit(m_src)).alias("primary_source"),
-        F.when(F.col("_pw"), F.lit(K.CONF_HIGH)).otherwise(F.lit(K.CONF_MEDIUM)).alias("source_confidence"),
+        F.when(F.col("pull_wins"), F.lit(K.SRC_PULL)).otherwise(F.lit(m_src)).alias("primary_source"),
+        F.when(F.col("pull_wins"), F.lit(K.CONF_HIGH)).otherwise(F.lit(K.CONF_MEDIUM)).alias("source_confidence"),
         F.coalesce(F.col("p_fetched_at"), F.col("m_fetched_at")).alias("fetched_at"),
     ]
     return j.select(*cols)
@@ -178,6 +183,12 @@ def _detail_from_daily(silver: DataFrame, grain: Grain, model: str) -> DataFrame
     )
 
 
+def adset_resolve(silver_ad: DataFrame, ad_map: DataFrame, model: str = K.MODEL_LTV) -> DataFrame:
+    """Ad rows of one model (not re-grouped, metrics 0-filled) with
+    adset := COALESCE(NULLIF(adset, ''), map.adset, '') by plain (media_source, campaign, ad)."""
+    return _detail_from_ad(silver_ad, ad_map, model)
+
+
 def _detail_from_ad(silver_ad: DataFrame, ad_map: DataFrame, model: str) -> DataFrame:
     """A13 input: ad rows are not re-grouped; adset resolved by the map."""
     a = silver_ad.filter(F.col("attribution_model") == model).select(
@@ -197,6 +208,19 @@ def _detail_from_ad(silver_ad: DataFrame, ad_map: DataFrame, model: str) -> Data
     ).drop("m_ms", "m_campaign", "m_ad", "m_adset")
 
 
+def scale_join(detail: DataFrame, pull_ms: DataFrame) -> DataFrame:
+    """Detail LEFT JOIN own (date, media source) totals LEFT JOIN Pull totals, plain
+    equality (a NULL media source meets neither). Adds m_* (own) and p_* (Pull) sums."""
+    own = detail.groupBy("fact_date", "media_source").agg(
+        F.sum("spend").alias("m_spend"), F.sum("installs").alias("m_installs"),
+        F.sum("af_start_trial").alias("m_trials"), F.sum("af_subscribe").alias("m_subs"))
+    own = own.withColumnRenamed("fact_date", "t_date").withColumnRenamed("media_source", "t_ms")
+    p = pull_ms.withColumnRenamed("fact_date", "q_date").withColumnRenamed("media_source", "q_ms")
+    j = detail.join(own, (detail.fact_date == own.t_date) & (detail.media_source == own.t_ms), "left")
+    j = j.join(p, (j.fact_date == p.q_date) & (j.media_source == p.q_ms), "left")
+    return j.drop("t_date", "t_ms", "q_date", "q_ms")
+
+
 def scaled_breakdown(detail: DataFrame, pull_ms: DataFrame, grain: Grain, model: str, label: str,
                      tz: str = K.DEFAULT_BUSINESS_TZ) -> DataFrame:
     """Scale spend, installs, trials and subscribes of each detail row by
@@ -208,13 +232,7 @@ def scaled_breakdown(detail: DataFrame, pull_ms: DataFrame, grain: Grain, model:
     broadcasts when its measured size allows; a hot media source never lands in one
     window partition.
     """
-    own = detail.groupBy("fact_date", "media_source").agg(
-        F.sum("spend").alias("m_spend"), F.sum("installs").alias("m_installs"),
-        F.sum("af_start_trial").alias("m_trials"), F.sum("af_subscribe").alias("m_subs"))
-    own = own.withColumnRenamed("fact_date", "t_date").withColumnRenamed("media_source", "t_ms")
-    p = pull_ms.withColumnRenamed("fact_date", "q_date").withColumnRenamed("media_source", "q_ms")
-    j = detail.join(own, (detail.fact_date == own.t_date) & (detail.media_source == own.t_ms), "left")
-    j = j.join(p, (j.fact_date == p.q_date) & (j.media_source == p.q_ms), "left")
+    j = scale_join(detail, pull_ms)
     scaled = {
         out: F.col(out) * scale_factor(F.col("p_" + short), F.col("m_" + short)) for out, short in _SCALED
     }

@@ -94,15 +94,7 @@ def adset_ad_map(map_rows: DataFrame) -> DataFrame:
     ).select("media_source", "campaign", "adset", "ad", "installs")
 
 
-def marketing_fact_ad(
-    source: DataFrame,
-    ad_map: DataFrame,
-    business_tz: str = K.DEFAULT_BUSINESS_TZ,
-    date_from: _dt.date | None = None,
-    date_to: _dt.date | None = None,
-) -> DataFrame:
-    """Ad-grain facts. Event KPIs make the rows (per model); performance (installs,
-    spend, currency) is looked up null-safely (J5); adset comes from the map (J6)."""
+def _ad_parts(source: DataFrame, date_from, date_to) -> tuple[DataFrame, DataFrame]:
     canon = canonical_source_rows(source, AD_GRAIN_DIMS, ad_grain=True, date_from=date_from, date_to=date_to)
     perf = canon.filter(F.col("kpi_name") == K.KPI_AD_PERFORMANCE).select(
         F.col("fact_date").alias("p_date"), F.col("media_source").alias("p_ms"),
@@ -118,29 +110,50 @@ def marketing_fact_ad(
         *[_event_sum(base, K.KPI_AD_PREFIX + e + K.KPI_UNIQUE_USERS_SUFFIX).alias(e) for e in K.EVENT_NAMES],
         F.max(F.nullif(F.col("fetched_at"), F.lit(""))).alias("fetched_at"),
     )
-    joined = ev.join(
+    return ev, perf
+
+
+def ad_perf_join(ev: DataFrame, perf: DataFrame) -> DataFrame:
+    """Event rows LEFT JOIN ad performance, null-safe on (date, media source, campaign,
+    ad); missing performance -> 0 installs, 0 spend, NULL currency. Ads with performance but
+    no event row do not appear."""
+    j = ev.join(
         perf,
         (ev.fact_date.eqNullSafe(perf.p_date)) & (ev.media_source.eqNullSafe(perf.p_ms))
         & (ev.campaign.eqNullSafe(perf.p_campaign)) & (ev.ad.eqNullSafe(perf.p_ad)),
         "left",
     )
+    return j.withColumn("installs", F.coalesce(F.col("p_installs"), F.lit(0.0))).withColumn(
+        "spend", F.coalesce(F.col("p_spend"), F.lit(0.0))).withColumn("currency", F.col("p_currency")).drop(
+        "p_date", "p_ms", "p_campaign", "p_ad", "p_installs", "p_spend", "p_currency")
+
+
+def ad_map_lookup(rows: DataFrame, ad_map: DataFrame) -> DataFrame:
+    """Adset from the map by plain (media_source, campaign, ad); default ''."""
     m = ad_map.select(F.col("media_source").alias("m_ms"), F.col("campaign").alias("m_campaign"),
                       F.col("ad").alias("m_ad"), F.col("adset").alias("m_adset"))
-    joined = joined.join(
-        m,
-        (joined.media_source == m.m_ms) & (joined.campaign == m.m_campaign) & (joined.ad == m.m_ad),
-        "left",
-    )
+    j = rows.join(m, (rows.media_source == m.m_ms) & (rows.campaign == m.m_campaign) & (rows.ad == m.m_ad), "left")
+    return j.withColumn("adset", F.coalesce(F.col("m_adset"), F.lit(""))).drop("m_ms", "m_campaign", "m_ad", "m_adset")
+
+
+def marketing_fact_ad(
+    source: DataFrame,
+    ad_map: DataFrame,
+    business_tz: str = K.DEFAULT_BUSINESS_TZ,
+    date_from: _dt.date | None = None,
+    date_to: _dt.date | None = None,
+) -> DataFrame:
+    """Ad-grain facts. Event KPIs make the rows (per model); performance (installs,
+    spend, currency) is looked up null-safely (J5); adset comes from the map (J6)."""
+    ev, perf = _ad_parts(source, date_from, date_to)
+    joined = ad_map_lookup(ad_perf_join(ev, perf), ad_map)
     return joined.select(
         "fact_date",
         F.lit(K.SRC_MCP_AD).alias("source_system"),
-        "media_source", "campaign",
-        F.coalesce(F.col("m_adset"), F.lit("")).alias("adset"),
-        "ad", "attribution_model",
-        F.coalesce(F.col("p_installs"), F.lit(0.0)).alias("installs"),
-        F.coalesce(F.col("p_spend"), F.lit(0.0)).alias("spend"),
+        "media_source", "campaign", "adset", "ad", "attribution_model",
+        "installs", "spend",
         "af_start_trial", "af_subscribe", "af_tutorial_completion", "rc_trial_converted_event",
-        F.col("p_currency").alias("currency"),
+        "currency",
         F.lit(business_tz).alias("timezone"),
         F.coalesce(F.col("fetched_at"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
         .alias("fetched_at"),
