@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake import constants as K
@@ -209,16 +209,25 @@ def _detail_from_ad(silver_ad: DataFrame, ad_map: DataFrame, model: str) -> Data
 
 
 def scale_join(detail: DataFrame, pull_ms: DataFrame) -> DataFrame:
-    """Detail LEFT JOIN own (date, media source) totals LEFT JOIN Pull totals, plain
-    equality (a NULL media source meets neither). Adds m_* (own) and p_* (Pull) sums."""
-    own = detail.groupBy("fact_date", "media_source").agg(
-        F.sum("spend").alias("m_spend"), F.sum("installs").alias("m_installs"),
-        F.sum("af_start_trial").alias("m_trials"), F.sum("af_subscribe").alias("m_subs"))
-    own = own.withColumnRenamed("fact_date", "t_date").withColumnRenamed("media_source", "t_ms")
+    """Detail rows with their own (date, media source) totals and the Pull totals of
+    that pair; plain equality, so a NULL media source meets neither (factor 1).
+
+    Own totals are a window sum over the *aggregated* detail (one row per adset or ad), so
+    a window group is bounded by the number of adsets/ads of one media source on one day,
+    not by data volume, and the detail is computed once (a self-join on an aggregate of
+    itself would run the whole source chain twice). Pull totals are one row per (date,
+    media source): AQE broadcasts them when their measured size allows.
+    """
+    w = Window.partitionBy("fact_date", "media_source")
+    present = F.col("media_source").isNotNull()
+    j = detail.select(
+        "*",
+        *[F.when(present, F.sum(c).over(w)).alias(o) for c, o in
+          (("spend", "m_spend"), ("installs", "m_installs"), ("af_start_trial", "m_trials"),
+           ("af_subscribe", "m_subs"))])
     p = pull_ms.withColumnRenamed("fact_date", "q_date").withColumnRenamed("media_source", "q_ms")
-    j = detail.join(own, (detail.fact_date == own.t_date) & (detail.media_source == own.t_ms), "left")
     j = j.join(p, (j.fact_date == p.q_date) & (j.media_source == p.q_ms), "left")
-    return j.drop("t_date", "t_ms", "q_date", "q_ms")
+    return j.drop("q_date", "q_ms")
 
 
 def scaled_breakdown(detail: DataFrame, pull_ms: DataFrame, grain: Grain, model: str, label: str,
