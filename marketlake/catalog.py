@@ -12,15 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlake import constants as K
 from marketlake.operators import gold, silver
+from marketlake.session import apply_job_conf
 from marketlake.sources.adapters import Inputs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
 
+def _with_job_conf(fn: QueryFn) -> QueryFn:
+    """Queries run with the job settings (AQE etc.) on whatever session they are given."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_job_conf(spark)
+        return fn(spark, sf_dir)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 def query(name: str):
     def deco(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = _with_job_conf(fn)
         return fn
     return deco
 
@@ -284,7 +294,7 @@ def _top(entity):
 
 for _name, _entity in (("top_media", "media_source"), ("top_campaigns", "campaign"),
                        ("top_adsets", "adset"), ("top_ads", "ad")):
-    QUERIES[_name] = _top(_entity)
+    QUERIES[_name] = _with_job_conf(_top(_entity))
 
 
 @query("growth_totals_summary")

@@ -25,6 +25,8 @@ JOB_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "16MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # list many small landing folders in batches rather than one task per folder
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
