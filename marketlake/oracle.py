@@ -12,20 +12,12 @@ then the final SELECT.
 from __future__ import annotations
 
 from marketlake import constants as K
+from marketlake.sources.adapters import MCP_KPIS
 
 LA = K.DEFAULT_BUSINESS_TZ
 SRC_PULL, SRC_MCP, SRC_MCP_AD = K.SRC_PULL, K.SRC_MCP, K.SRC_MCP_AD
 
-_KPIS = [
-    "af_start_trial_unique_users", "af_subscribe_unique_users", "af_tutorial_completion_unique_users",
-    "rc_trial_converted_event_unique_users", "arpu_ltv", "af_start_trial_unique_users_activity",
-    "af_subscribe_unique_users_activity", "af_tutorial_completion_unique_users_activity",
-    "rc_trial_converted_event_unique_users_activity", "ad_performance", "ad_af_start_trial_unique_users",
-    "ad_af_subscribe_unique_users", "ad_af_tutorial_completion_unique_users",
-    "ad_rc_trial_converted_event_unique_users", "ad_af_start_trial_unique_users_activity",
-    "ad_af_subscribe_unique_users_activity", "ad_af_tutorial_completion_unique_users_activity",
-    "ad_rc_trial_converted_event_unique_users_activity",
-]
+_KPIS = list(MCP_KPIS)
 _KPI_LIST = ", ".join(f"{{'n': {i}, 'kpi_name': '{k}'}}" for i, k in enumerate(_KPIS))
 
 # name -> (dependencies, body)
