@@ -62,3 +62,19 @@ def test_oracle_matches_on_smallest_scale(spark):
             bad.append(n)
     assert not bad, bad
     assert oracle.names()
+
+
+def test_foreach_batch_recompute_sees_touched_dates(spark, tmp_dir):
+    root = f"{tmp_dir}/landing2"
+    write(f"{root}/aggregated_performance/dt=2026-01-01/a.json", json.dumps([{"cost": 1}]))
+    write(f"{root}/aggregated_performance/dt=2026-01-03/a.json", json.dumps([{"cost": 2}]))
+    seen = []
+
+    def recompute(dates, epoch_id):
+        seen.extend(str(r.fact_date) for r in dates.collect())  # a one-row-per-date frame
+
+    q = (raw_stream.raw_report_stream(spark, root).writeStream
+         .foreachBatch(raw_stream.recompute_on_batch(recompute))
+         .option("checkpointLocation", f"{tmp_dir}/ck2").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(seen) == ["2026-01-01", "2026-01-03"]
