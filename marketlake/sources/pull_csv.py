@@ -49,6 +49,25 @@ def _first_line(spark: SparkSession, path: str) -> str:
     return row[0][0] if row else ""
 
 
+FEW_FILES = 8
+
+
+def header_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """First line of every non-empty file, keyed by a path Spark can read.
+
+    A few files: one tiny probe each (reads one line). Many files: one job over the first
+    block of each file, keeping the line read first (ids increase in read order within a
+    task), keyed by the file URI Spark reports; only the header lines reach the driver."""
+    if len(paths) <= FEW_FILES:
+        return {p: _first_line(spark, p) for p in paths}
+    lines = (spark.read.text(list(paths))
+             .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                     F.col("value"), F.monotonically_increasing_id().alias("i"))
+             .filter(F.col("b") == 0))
+    first = lines.groupBy("f").agg(F.min_by("value", "i").alias("header"))
+    return {r.f: r.header for r in first.collect()}
+
+
 def normalize_pull_rows(df: DataFrame, headers: Sequence[str], report_segment: str,
                         tz: str, fetched_at: str, conversion_type: bool = False) -> DataFrame:
     """Positional columns of one header group -> canonical Pull rows."""
@@ -82,9 +101,8 @@ def pull_csv_scan(spark: SparkSession, paths: Sequence[str], report_segment: str
     """Header CSV files -> canonical Pull rows; rows without a date are dropped."""
     fetched_at = fetched_at or _dt.datetime.now(_dt.timezone.utc).isoformat()
     groups: dict[tuple[str, ...], list[str]] = {}
-    for p in paths:
-        line = _first_line(spark, p)
-        if not line.strip():
+    for p, line in header_lines(spark, paths).items():
+        if not line or not line.strip():
             continue
         headers = tuple(next(csv.reader([line])))
         groups.setdefault(headers, []).append(p)

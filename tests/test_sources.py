@@ -133,3 +133,17 @@ def test_fact_export_normalises(spark, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/facts").collect()
     assert all(r.media_source is None for r in back) and len(back) == 2
     assert [str(r.fact_date) for r in rows.collect()] == ["2026-01-01", "2026-01-02"]
+
+
+def test_pull_csv_scan_many_files_one_header_job(spark, tmp_dir):
+    paths = []
+    for i in range(10):
+        p = f"{tmp_dir}/many/p{i}.csv"
+        if i % 2:
+            write(p, f"Date,Media Source (pid),Installs\n2026-01-{i + 1:02d},fb,{i}\n")
+        else:
+            write(p, f"Date,Installs,Media Source\n2026-01-{i + 1:02d},{i},g\n")
+        paths.append(p)
+    assert len(pull_csv.header_lines(spark, paths)) == 10
+    rows = {r.fact_date.day: (r.media_source, r.installs) for r in pull_csv.pull_csv_scan(spark, paths).collect()}
+    assert rows == {i + 1: ("fb" if i % 2 else "g", float(i)) for i in range(10)}
