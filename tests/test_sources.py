@@ -147,3 +147,11 @@ def test_pull_csv_scan_many_files_one_header_job(spark, tmp_dir):
     assert len(pull_csv.header_lines(spark, paths)) == 10
     rows = {r.fact_date.day: (r.media_source, r.installs) for r in pull_csv.pull_csv_scan(spark, paths).collect()}
     assert rows == {i + 1: ("fb" if i % 2 else "g", float(i)) for i in range(10)}
+
+
+def test_mcp_response_quoted_newline(spark):
+    text = ('## Data:Date,Media source,Campaign,Unique users\n2026-01-01,fb,"Spring\nSale",5\n'
+            '2026-01-01,g,"a,b",6; ## Metadata:{"timezone": "UTC"}')
+    df = spark.createDataFrame([("k", "2026-01-01", "2026-01-01", "f", text)], RESP_SCHEMA)
+    out = {r.media_source: (r.campaign, r.metric_value) for r in mcp_text.mcp_response_scan(df).collect()}
+    assert out == {"fb": ("Spring\nSale", 5.0), "g": ("a,b", 6.0)}
