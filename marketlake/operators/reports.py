@@ -83,13 +83,16 @@ def growth_totals_summary(daily_totals: DataFrame, date_from: _dt.date, date_to:
     )
 
 
-def freshness(daily_totals: DataFrame, today: _dt.date) -> DataFrame:
-    """Latest date, rows for yesterday (business calendar), total rows, yesterday_present."""
-    yesterday = today - _dt.timedelta(days=1)
+def freshness(daily_totals: DataFrame, today: _dt.date | None = None,
+              tz: str = "America/Los_Angeles") -> DataFrame:
+    """Latest date, rows for yesterday (business calendar), total rows, yesterday_present.
+    ``today`` defaults to the current date in the business time zone."""
+    from marketlake.functions import business_today
+    yesterday = F.lit(today - _dt.timedelta(days=1)) if today is not None else F.date_sub(business_today(tz), 1)
     g = daily_totals.agg(
         F.max("fact_date").alias("max_fact_date"),
-        F.count(F.when(F.col("fact_date") == F.lit(yesterday), 1)).alias("yesterday_row_count"),
+        F.count(F.when(F.col("fact_date") == yesterday, 1)).alias("yesterday_row_count"),
         F.count(F.lit(1)).alias("row_count"),
     )
-    return g.select("max_fact_date", F.lit(yesterday).alias("yesterday"), "yesterday_row_count", "row_count",
+    return g.select("max_fact_date", yesterday.alias("yesterday"), "yesterday_row_count", "row_count",
                     (F.col("yesterday_row_count") > 0).alias("yesterday_present"))
