@@ -4,15 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, sharding, simhash, urlfilter
+from . import decontaminate, packing, quality, secrets_scan, sharding, simhash, topk, urlfilter
 from .common import table
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return decontaminate.digest(decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), ["doc_id"]))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.digest(secrets_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.digest(quality.score(docs, labels, ["doc_id"]))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"]))
 
@@ -22,9 +35,14 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op5_simhash, op6_url_filter, op10_sharding)}
+QUERIES = {f.__name__: f for f in (
+    op1_topk, op2_decontaminate, op3_secrets, op4_quality, op5_simhash, op6_url_filter, op9_packing, op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}
