@@ -11,20 +11,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import decontaminate as decontaminate_op, simhash as simhash_op
-from marketlake.llm.common import col, materialise, table
+from marketlake.llm import decontaminate as decontaminate_op, packing, pii, quality, simhash as simhash_op
+from marketlake.llm.common import materialise, table
 
 
-def _rows(df: DataFrame, columns: list[str]) -> DataFrame:
+def _rows(df: DataFrame, columns: list[str], **replaced) -> DataFrame:
     """The columns of the documents again, out of the struct ``row``."""
-    return df.select(*[F.col("row").getField(c).alias(c) for c in columns])
+    return df.select(*[replaced.get(c, F.col("row").getField(c)).alias(c) for c in columns])
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on this table's labels, doesn't predict to be bad."""
+    scored = quality.score(docs, table(spark, sf_dir, "labels"), docs.columns)
+    return _rows(scored.where(F.col("score") >= quality.THRESHOLD), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates: the one with the smallest doc_id.
 
-    Documents with a null doc_id all stay (they have no representative to be told
-    from); of rows that repeat the kept doc_id one stays.
+    Documents with a null doc_id all stay (no representative can be told from
+    them); of rows that repeat the kept doc_id one stays.
     """
     marked = simhash_op.near_duplicates(docs.select("doc_id", "text"), ["doc_id"])
     keep = marked.select(F.col("component_id").alias("k")).where("k is not null").distinct()
@@ -38,10 +44,28 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _rows(found.where("res.n_hit = 0"), docs.columns)
 
 
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind; ``n_chars`` follows the text."""
+    found = pii.find(docs, docs.columns)
+    text = pii.redacted(found)
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col("row.n_chars"))
+    return _rows(found, docs.columns, **changed)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents, each with its sequence and place there."""
+    return packing.pack(docs)
+
+
 #: (name, function) in order.
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality_filter),
     ("simhash_near_dedup", near_dedup),
     ("benchmark_decontamination", decontaminate),
+    ("pii", redact),
+    ("best_fit_packing", pack),
 ]
 
 #: SQL can express neither the trained models nor the tokenizer; tests/llm compares with brute force.
