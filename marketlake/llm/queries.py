@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, packing, pii, quality, secrets_scan, sharding, simhash, topk, urlfilter
+from . import decontaminate, packing, pii, quality, secrets_scan, sharding, simhash, suffix_dedup, topk, urlfilter
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.dedup(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents"), ["doc_id"]))
 
@@ -48,5 +52,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_topk, op2_decontaminate, op3_secrets, op4_quality, op5_simhash, op6_url_filter, op8_pii, op9_packing, op10_sharding)}
+    op1_topk, op2_decontaminate, op3_secrets, op4_quality, op5_simhash, op6_url_filter, op7_suffix_dedup, op8_pii, op9_packing, op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}

@@ -27,17 +27,22 @@ Tree = dict[int, dict[int, dict[int, float]]]
 
 
 def grid(n_shards: int, racks: int = 4, per_rack: int = 5) -> Tree:
-    """``n_shards`` of weight 1: full regions first, each shard beyond them a region of its own."""
+    """``n_shards`` of weight 1: full regions first, the rest by ``grow``."""
     size = racks * per_rack
     tree: Tree = {}
     for r in range(n_shards // size):
         tree[r] = {k: {r * size + k * per_rack + s: 1.0 for s in range(per_rack)} for k in range(racks)}
-    for shard in range(n_shards // size * size, n_shards):
-        # the place in the tree is the shard's own number: it never changes as others are added
-        tree[1_000_000 + shard] = {0: {shard: 1.0}}
+    for _ in range(n_shards % size):
+        tree = grow(tree)
     return tree
 
 
+def grow(tree: Tree, weight: float = 1.0) -> Tree:
+    """``tree`` and one more shard, alone in a region of its own; the rest keeps its places and weights."""
+    shard = sum(len(shards) for racks in tree.values() for shards in racks.values())
+    return {**tree, max(tree, default=-1) + 1: {0: {shard: weight}}}
+
+
 def _draw(key: Column, level: str, place: int, weight: float) -> Column:
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(level), F.lit(place), key), 11)
     return -F.log((bits.cast("double") + 0.5) / F.lit(float(1 << 53))) / F.lit(weight)
@@ -89,7 +94,7 @@ def shard_rows(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text",
         col(key_col).alias("doc_id"), (F.octet_length(raw) + 16).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"))
     rows = place(rows, key, grid(n_shards), "shard")
-    rows = place(rows, key, grid(n_shards + 1), "grown_shard")
+    rows = place(rows, key, grow(grid(n_shards)), "grown_shard")
     rows = materialise(rows.withColumn("n", F.monotonically_increasing_id()), "shard-rows")
     rows = rows.withColumn("part", F.shiftright("n", 33))
     # counts of the earlier partitions: one row for each shard and partition
