@@ -135,13 +135,13 @@ def q_activity_adset_daily(spark, sf_dir):
 @query("growth_ad_daily")
 def q_growth_ad_daily(spark, sf_dir):
     m = Model(spark, sf_dir)
-    return gold.scaled_ad_daily(m.pull, m.silver_ad, m.ad_map, K.MODEL_LTV, m.tz)
+    return gold.scaled_ad_daily(m.pull, m.silver_ad, None, K.MODEL_LTV, m.tz)
 
 
 @query("activity_ad_daily")
 def q_activity_ad_daily(spark, sf_dir):
     m = Model(spark, sf_dir)
-    return gold.scaled_ad_daily(m.pull, m.silver_ad, m.ad_map, K.MODEL_ACTIVITY, m.tz)
+    return gold.scaled_ad_daily(m.pull, m.silver_ad, None, K.MODEL_ACTIVITY, m.tz)
 
 
 @query("growth_fact_rows")
@@ -250,7 +250,10 @@ def q_validate_volume(spark, sf_dir):
 
 @query("validate_duplicate_keys")
 def q_validate_duplicate_keys(spark, sf_dir):
-    return quality.validate_duplicate_keys(Warehouse(spark, sf_dir).daily)
+    daily = Warehouse(spark, sf_dir).daily
+    # every seventh day's rows stand twice, as after a double load
+    twice = F.when(F.dayofmonth("report_date") % 7 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return quality.validate_duplicate_keys(daily.withColumn("copy", F.explode(twice)))
 
 
 @query("validate_null_rates")
@@ -288,7 +291,8 @@ def q_report_weekly_cac(spark, sf_dir):
 
 def _top(entity):
     def fn(spark, sf_dir):
-        return reports.top_entities(Model(spark, sf_dir).silver, ALL_FROM, ALL_TO, entity, TOP_N)
+        m = Model(spark, sf_dir)
+        return reports.top_entities(m.silver_ad if entity == "ad" else m.silver, ALL_FROM, ALL_TO, entity, TOP_N)
     return fn
 
 
@@ -341,7 +345,12 @@ def _reattr_fetch(pull):
 
 @query("retarget_rewrite")
 def q_retarget_rewrite(spark, sf_dir):
-    return _reattr_fetch(Inputs(spark, sf_dir).pull)
+    reattr = K.DEFAULT_REPORT_SEGMENT + K.REATTR_SEGMENT_SUFFIX
+    rows = Inputs(spark, sf_dir).pull.filter(F.col("report_segment") == reattr)
+    kind = F.floor(F.col("ingest_seq") / 10) % 4
+    rows = rows.withColumn("conversion_type", F.when(kind == 0, F.lit(" re-engagement ")).when(kind == 2, F.lit("N/A"))
+                           .when(kind == 3, F.lit("x y")))
+    return pull_ops.retarget_rewrite(rows, "conversion_type").withColumn("fetched_at", F.lit(LATER_FETCH))
 
 
 @query("reattr_replace")
@@ -410,6 +419,20 @@ def _parity_right(s):
 PARITY_KEYS_MODEL = (*quality.PARITY_KEYS, "attribution_model")
 
 
+@query("export_parity_six_keys")
+def q_export_parity_six_keys(spark, sf_dir):
+    s = Model(spark, sf_dir).silver
+    return quality.export_parity(s, _parity_right(s))
+
+
+@query("export_parity_samples")
+def q_export_parity_samples(spark, sf_dir):
+    s = Model(spark, sf_dir).silver
+    kinds = ("only_left", "only_right", "mismatch")
+    parts = [quality.parity_samples(s, _parity_right(s), kind).select(F.lit(kind).alias("kind"), "*") for kind in kinds]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("export_parity")
 def q_export_parity(spark, sf_dir):
     s = Model(spark, sf_dir).silver
@@ -428,6 +451,13 @@ def q_kpi_attribution(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query("kpi_grain_split")
+def q_kpi_grain_split(spark, sf_dir):
+    grain = F.when(is_ad_grain("kpi_name"), F.lit("ad")).otherwise(F.lit("adset")).alias("grain")
+    return Inputs(spark, sf_dir).mcp.groupBy("fact_date", grain).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("metric_value").alias("metric_value"))
+
+
 @query("dim_normalize")
 def q_dim_normalize(spark, sf_dir):
     stg = Warehouse(spark, sf_dir).stg_perf
@@ -474,30 +504,16 @@ def _raw_rows(inp):
     return perf.unionByName(ev)
 
 
-_LANDINGS: dict[tuple[str, str], str] = {}
-
-
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p.suffix("/_SUCCESS"))
-
-
 def land_raw(spark, sf_dir) -> str:
     """Land both raw reports as line-delimited JSON under <root>/report_name=<r>/dt=<d>/.
-    The landing is immutable data derived from the tables, so the queries of one session
-    share it (one write per input directory)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _LANDINGS and _exists(spark, _LANDINGS[key]):
-        return _LANDINGS[key]
+
+    Files are rebalanced on report and day: AQE splits a hot day over several writers and
+    joins small days into one, so the number of files follows the data."""
     root = _scratch(spark, "landing")
     (_raw_rows(Inputs(spark, sf_dir))
      .select("report_name", F.date_format("_extract_date", "yyyy-MM-dd").alias("dt"), F.col("_payload").alias("value"))
-     # one file per report and day (like the vendor drop), written by all cores: an explicit
-     # partition count keeps AQE from coalescing the small shuffle into one writer task
-     .repartition(spark.sparkContext.defaultParallelism, "report_name", "dt")
+     .hint("rebalance", "report_name", "dt")
      .write.partitionBy("report_name", "dt").text(root))
-    _LANDINGS[key] = root
     return root
 
 
@@ -513,7 +529,7 @@ def q_raw_report_scan(spark, sf_dir):
 
 @query("raw_lineage")
 def q_raw_lineage(spark, sf_dir):
-    return raw_json.with_lineage(_scan_landing(spark, sf_dir)).drop("_ingested_at", "_request_params")
+    return raw_json.with_lineage(_scan_landing(spark, sf_dir)).select("_report_name", "_extract_date", "_row_hash")
 
 
 @query("batch_ledger")
@@ -544,14 +560,35 @@ PULL_CSV_HEADERS = (
 
 @query("pull_csv_scan")
 def q_pull_csv_scan(spark, sf_dir):
-    root = _scratch(spark, "pull-csv")
-    p = Inputs(spark, sf_dir).pull
-    p.select(*[F.col(c).cast("string").alias(h) for c, h in PULL_CSV_HEADERS]).write.option("header", True).csv(root)
-    paths = [f"{root}/{f}" for f in _list_files(spark, root, ".csv")]
+    # two vendor layouts (the reattribution report has no clicks and calls installs conversions),
+    # in a folder with a space, with quotes and line ends inside a field
+    p = Inputs(spark, sf_dir).pull.withColumn("campaign", F.concat("campaign", F.lit(' "q", x\ny')))
+    reattr = F.col("report_segment") == K.DEFAULT_REPORT_SEGMENT + K.REATTR_SEGMENT_SUFFIX
+    layouts = ((~reattr, PULL_CSV_HEADERS),
+               (reattr, tuple((c, "Conversions" if c == "installs" else h) for c, h in PULL_CSV_HEADERS[::-1] if c != "clicks")))
+    paths = []
+    for i, (rows, headers) in enumerate(layouts):
+        root = _scratch(spark, f"pull csv {i}")
+        (p.filter(rows).select(*[F.col(c).cast("string").alias(h) for c, h in headers])
+         .write.option("header", True).option("escape", '"').csv(root))
+        paths += [f"{root}/{f}" for f in _list_files(spark, root, ".csv")]
     out = pull_csv.pull_csv_scan(spark, paths, fetched_at="2026-01-01T00:00:00+00:00")
     return out.drop("source_payload", "fetched_at")
 
 
+HEADER_SAMPLES = ("Date", "Media Source (pid)", "Conversions", "Total Cost", "af_subscribe (Unique users)",
+                  "af_subscribe (Event counter)", "Adset", "Other")
+
+
+@query("pull_header_map")
+def q_pull_header_map(spark, sf_dir):
+    """P3 over a column of headers, in mixed case and with white space around."""
+    p = Inputs(spark, sf_dir).pull.select("ingest_seq", F.explode(F.array(*map(F.lit, HEADER_SAMPLES))).alias("h"))
+    header = F.when(F.col("ingest_seq") % 2 == 0, F.concat("h", F.lit(" "))).otherwise(F.upper("h"))
+    return p.groupBy(header.alias("header")).agg(F.count(F.lit(1)).alias("row_count")).select(
+        "header", pull_csv.header_field(F.col("header")).alias("field"), "row_count")
+
+
 def _list_files(spark, root: str, suffix: str) -> list[str]:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
@@ -559,15 +596,24 @@ def _list_files(spark, root: str, suffix: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(path) if st.getPath().getName().endswith(suffix))
 
 
+PAD_COLUMNS = 70  # text columns before the metrics: responses are wide
+
+
 def _responses(mcp):
+    """Responses of many lines: the rows of one KPI, window and hundred orders. They begin on a
+    new line and hold quotes, commas and line ends inside fields."""
     def txt(c):
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
-    text = F.concat(
-        F.lit("Result for the request. ## Data:Date,Media source,Campaign,Adset,Ad,Unique users,Cost,Installs\n"),
-        txt("fact_date"), F.lit(","), txt("media_source"), F.lit(","), txt("campaign"), F.lit(","), txt("adset"),
-        F.lit(","), txt("ad"), F.lit(","), txt("metric_value"), F.lit(","), txt("cost"), F.lit(","), txt("installs"),
-        F.lit('\n; ## Metadata:{"timezone": "UTC", "currency": "USD"}'))
-    return mcp.select("kpi_name", "fetch_window_from", "fetch_window_to", "fetched_at", text.alias("response_text"))
+    pads = ["Pad %d" % i for i in range(PAD_COLUMNS)]
+    head = ",".join(["Date", "Media source", "Campaign", "Adset", "Ad", *pads, "Unique users", "Cost", "Installs"])
+    campaign = F.concat(F.lit('"'), F.col("campaign"), F.lit(' ""q"", x\ny"'))
+    line = F.concat_ws(",", txt("fact_date"), txt("media_source"), campaign, txt("adset"), txt("ad"),
+                       F.lit(",".join("x" for _ in pads)), txt("metric_value"), txt("cost"), txt("installs"))
+    lines = mcp.groupBy("kpi_name", "fetch_window_from", "fetch_window_to", F.substring("fetched_at", 1, 18).alias("hundred")).agg(
+        F.max("fetched_at").alias("fetched_at"), F.array_join(F.collect_list(line), "\n").alias("lines"))
+    text = F.concat(F.lit(f"Result for the request. ## Data:\n{head}\n"), "lines",
+                    F.lit('\n; ## Metadata: {"timezone": "UTC", "currency": "USD"}'))
+    return lines.select("kpi_name", "fetch_window_from", "fetch_window_to", "fetched_at", text.alias("response_text"))
 
 
 @query("mcp_response_scan")
@@ -594,7 +640,7 @@ def _bronze_with_period(mcp):
 def q_raw_export(spark, sf_dir):
     root = _scratch(spark, "raw-export")
     rows = export.raw_export_rows(_bronze_with_period(Inputs(spark, sf_dir).mcp))
-    export.write_raw_export(rows.repartition(spark.sparkContext.defaultParallelism, "report_name", "dt"), root)
+    export.write_raw_export(rows, root)
     back = raw_json.raw_report_scan(spark, f"{root}/*/dt=*/*.txt", body="lines")
     p = F.col("_payload")
     return back.select(
@@ -618,14 +664,23 @@ def q_export_summary(spark, sf_dir):
 
 @query("gold_refresh")
 def q_gold_refresh(spark, sf_dir):
+    """Silver is written once; the eleven datasets read it, and each answers with its sums."""
     from marketlake.plans import gold_refresh
     m = Model(spark, sf_dir)
-    out = gold_refresh.gold_datasets(m.pull, m.silver, m.silver_ad, m.ad_map, m.tz)
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("dataset"), "row_count")
-             for n, df in out.items()]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
+
+    def stored(df, name):
+        path = _scratch(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    out = gold_refresh.gold_datasets(m.pull, stored(m.silver, "gold-silver"), stored(m.silver_ad, "gold-silver-ad"), None, m.tz)
+    res = None
+    for n, df in out.items():
+        tutorials = F.sum("af_tutorial_completion") if "af_tutorial_completion" in df.columns else F.lit(0.0)
+        part = df.agg(F.count(F.lit(1)).alias("row_count"), F.round(F.sum("spend"), 2).alias("spend"),
+                      F.round(F.sum("installs"), 2).alias("installs"), tutorials.alias("tutorials"))
+        part = part.select(F.lit(n).alias("dataset"), "*")
+        res = part if res is None else res.unionByName(part)
     return res
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake import constants as K
@@ -189,8 +189,9 @@ def adset_resolve(silver_ad: DataFrame, ad_map: DataFrame, model: str = K.MODEL_
     return _detail_from_ad(silver_ad, ad_map, model)
 
 
-def _detail_from_ad(silver_ad: DataFrame, ad_map: DataFrame, model: str) -> DataFrame:
-    """A13 input: ad rows are not re-grouped; adset resolved by the map."""
+def _detail_from_ad(silver_ad: DataFrame, ad_map: DataFrame | None, model: str) -> DataFrame:
+    """A13 input: ad rows are not re-grouped; adset resolved by the map (J4). Without a map
+    the rows' own adset stands: silver just built from the current map has it already."""
     a = silver_ad.filter(F.col("attribution_model") == model).select(
         "fact_date", "media_source", "campaign", "ad",
         F.coalesce(F.col("adset"), F.lit("")).alias("adset"),
@@ -200,6 +201,8 @@ def _detail_from_ad(silver_ad: DataFrame, ad_map: DataFrame, model: str) -> Data
         _z("af_tutorial_completion").alias("af_tutorial_completion"),
         "currency", "fetched_at",
     )
+    if ad_map is None:
+        return a
     m = ad_map.select(F.col("media_source").alias("m_ms"), F.col("campaign").alias("m_campaign"),
                       F.col("ad").alias("m_ad"), F.col("adset").alias("m_adset"))
     j = a.join(m, (a.media_source == m.m_ms) & (a.campaign == m.m_campaign) & (a.ad == m.m_ad), "left")
@@ -212,22 +215,15 @@ def scale_join(detail: DataFrame, pull_ms: DataFrame) -> DataFrame:
     """Detail rows with their own (date, media source) totals and the Pull totals of
     that pair; plain equality, so a NULL media source meets neither (factor 1).
 
-    Own totals are a window sum over the *aggregated* detail (one row per adset or ad), so
-    a window group is bounded by the number of adsets/ads of one media source on one day,
-    not by data volume, and the detail is computed once (a self-join on an aggregate of
-    itself would run the whole source chain twice). Pull totals are one row per (date,
-    media source): AQE broadcasts them when their measured size allows.
+    Both totals are aggregates, combined map-side to one row per (date, media source), and
+    come back by one join: no window holds a hot media source's rows in one task. The
+    detail's exchange is planned once and reused by its own totals.
     """
-    w = Window.partitionBy("fact_date", "media_source")
-    present = F.col("media_source").isNotNull()
-    j = detail.select(
-        "*",
-        *[F.when(present, F.sum(c).over(w)).alias(o) for c, o in
-          (("spend", "m_spend"), ("installs", "m_installs"), ("af_start_trial", "m_trials"),
-           ("af_subscribe", "m_subs"))])
-    p = pull_ms.withColumnRenamed("fact_date", "q_date").withColumnRenamed("media_source", "q_ms")
-    j = j.join(p, (j.fact_date == p.q_date) & (j.media_source == p.q_ms), "left")
-    return j.drop("q_date", "q_ms")
+    own = (detail.filter(F.col("media_source").isNotNull()).groupBy("fact_date", "media_source")
+           .agg(F.sum("spend").alias("m_spend"), F.sum("installs").alias("m_installs"),
+                F.sum("af_start_trial").alias("m_trials"), F.sum("af_subscribe").alias("m_subs")))
+    totals = own.join(pull_ms, ["fact_date", "media_source"], "left")
+    return detail.join(totals, ["fact_date", "media_source"], "left")
 
 
 def scaled_breakdown(detail: DataFrame, pull_ms: DataFrame, grain: Grain, model: str, label: str,
@@ -236,10 +232,8 @@ def scaled_breakdown(detail: DataFrame, pull_ms: DataFrame, grain: Grain, model:
     Pull(date, media_source) / own(date, media_source); factor 1 where either is missing
     or own is 0. Plain equality on media_source: NULL never meets a total.
 
-    Own totals are an aggregate joined back (not a window): the aggregate is combined
-    map-side and the joined sides are one row per (date, media source), which AQE
-    broadcasts when its measured size allows; a hot media source never lands in one
-    window partition.
+    The totals' side is one row per (date, media source): AQE broadcasts it when its
+    measured size allows and splits a hot media source's rows otherwise.
     """
     j = scale_join(detail, pull_ms)
     scaled = {
@@ -275,7 +269,7 @@ def scaled_daily(pull: DataFrame, silver: DataFrame, grain: Grain, model: str =
                             _label(K.SRC_MCP, model), tz)
 
 
-def scaled_ad_daily(pull: DataFrame, silver_ad: DataFrame, ad_map: DataFrame, model: str = K.MODEL_LTV,
+def scaled_ad_daily(pull: DataFrame, silver_ad: DataFrame, ad_map: DataFrame | None, model: str = K.MODEL_LTV,
                     tz: str = K.DEFAULT_BUSINESS_TZ, pull_ms: DataFrame | None = None) -> DataFrame:
     """A13 (ltv) / A17 (activity)."""
     pull_ms = pull_ms if pull_ms is not None else pull_media_source_day(pull, tz)

@@ -44,16 +44,20 @@ def cost_preserving_replace(stored: DataFrame, new: DataFrame, date_from: _dt.da
     window, segment and zone) have cost > 0 while the new rows do not: those keep the
     stored rows and the new rows are dropped. Days absent from the new fetch stay.
 
-    All date sets are one row per day; AQE broadcasts them when measured small."""
-    new = new.filter(F.col("fact_date").isNotNull())
-    in_win = F.col("fact_date").between(F.lit(date_from), F.lit(date_to))
-    old_cost = dates_with_cost(stored.filter(in_win & _scope(segment, tz)))
-    skip = old_cost.join(dates_with_cost(new), "fact_date", "left_anti")
-    replace = new.select("fact_date").distinct().join(skip, "fact_date", "left_anti")
-    flagged = stored.join(replace.withColumn("_replace", F.lit(True)), "fact_date", "left")
-    kept = flagged.filter(~(F.coalesce(F.col("_replace"), F.lit(False)) & _scope(segment, tz))).drop("_replace")
-    inserted = new.join(skip, "fact_date", "left_anti")
-    return kept.select(*stored.columns).unionByName(inserted.select(*stored.columns))
+    Both sides are tagged and unioned once. One aggregate gives a row per day that says
+    what each side has, and one join (the days' side is small) decides every row.
+    """
+    cols = stored.columns
+    rows = stored.select(*cols, F.lit(False).alias("_new")).unionByName(
+        new.filter(F.col("fact_date").isNotNull()).select(*cols, F.lit(True).alias("_new")))
+    scoped = ~F.col("_new") & F.col("fact_date").between(F.lit(date_from), F.lit(date_to)) & _scope(segment, tz)
+    has = lambda c: F.coalesce(F.max(c & (F.col("cost") > 0)), F.lit(False))
+    days = rows.groupBy("fact_date").agg(
+        F.max("_new").alias("_fetched"), (has(scoped) & ~has(F.col("_new"))).alias("_hold"))
+    known = rows.join(days, "fact_date", "left")
+    hold, fetched = F.coalesce("_hold", F.lit(False)), F.coalesce("_fetched", F.lit(False))
+    gone = F.coalesce(fetched & ~hold & _scope(segment, tz), F.lit(False))
+    return known.filter(F.when(F.col("_new"), ~hold).otherwise(~gone)).select(*cols)
 
 
 def retarget_rewrite(rows: DataFrame, conversion_type: str | Column | None = None,

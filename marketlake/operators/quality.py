@@ -65,34 +65,28 @@ PARITY_VALUES = ("installs", "spend", "af_start_trial", "af_subscribe", "af_tuto
                  "rc_trial_converted_event", "arpu_ltv", "currency", "timezone")
 
 
-def _normalised(df: DataFrame, keys: Sequence[str], values: Sequence[str], side: str) -> DataFrame:
-    """One row per normalised key ('' / 'None' -> NULL on keys, currency and timezone)."""
+def _normalised(df: DataFrame, keys: Sequence[str], values: Sequence[str], left: bool) -> DataFrame:
+    """Normalised keys ('' / 'None' -> NULL on keys, currency and timezone) and the values as one struct."""
     cols = [nullify_blank(F.col(k).cast("string")).alias(k) if k != "fact_date" else F.col(k) for k in keys]
     vals = [nullify_blank(F.col(v)).alias(v) if v in ("currency", "timezone") else F.col(v) for v in values]
-    rows = df.select(*cols, *vals)
-    # duplicate keys: keep the largest value tuple (deterministic stand-in for "last wins")
-    one = rows.groupBy(*keys).agg(F.max(F.struct(*values)).alias("_v"), F.count(F.lit(1)).alias("_n"))
-    return one.select(*[F.col(k).alias(f"{side}_{k}") for k in keys],
-                      F.col("_v").alias(f"{side}_v"), F.col("_n").alias(f"{side}_n"))
+    return df.select(*cols, F.struct(*vals).alias("_v"), F.lit(left).alias("_left"))
 
 
 def parity_compare(left: DataFrame, right: DataFrame, keys: Sequence[str] = PARITY_KEYS,
                    values: Sequence[str] = PARITY_VALUES) -> DataFrame:
-    """Key-level comparison: one row per normalised key with side presence and a mismatch flag."""
-    lft, rgt = _normalised(left, keys, values, "l"), _normalised(right, keys, values, "r")
-    cond = None
-    for k in keys:
-        c = F.col(f"l_{k}").eqNullSafe(F.col(f"r_{k}"))
-        cond = c if cond is None else cond & c
-    j = lft.join(rgt, cond, "full_outer")
-    in_l, in_r = F.col("l_n").isNotNull(), F.col("r_n").isNotNull()
-    return j.select(
-        *[F.coalesce(F.col(f"l_{k}"), F.col(f"r_{k}")).alias(k) for k in keys],
-        in_l.alias("in_left"), in_r.alias("in_right"),
-        F.coalesce(F.col("l_n"), F.lit(0)).alias("left_rows"),
-        F.coalesce(F.col("r_n"), F.lit(0)).alias("right_rows"),
-        (in_l & in_r & ~F.col("l_v").eqNullSafe(F.col("r_v"))).alias("mismatch"),
-    )
+    """Key-level comparison: one row per normalised key with side presence and a mismatch flag.
+
+    Both sides are one tagged union folded by one aggregate; of several rows of a key
+    the largest values count (a deterministic stand-in for "the last wins").
+    """
+    rows = _normalised(left, keys, values, True).unionByName(_normalised(right, keys, values, False))
+    lft = F.col("_left")
+    g = rows.groupBy(*keys).agg(
+        F.count(F.when(lft, 1)).alias("left_rows"), F.count(F.when(~lft, 1)).alias("right_rows"),
+        F.max(F.when(lft, F.col("_v"))).alias("_l"), F.max(F.when(~lft, F.col("_v"))).alias("_r"))
+    in_l, in_r = F.col("left_rows") > 0, F.col("right_rows") > 0
+    return g.select(*keys, in_l.alias("in_left"), in_r.alias("in_right"), "left_rows", "right_rows",
+                    (in_l & in_r & ~F.col("_l").eqNullSafe(F.col("_r"))).alias("mismatch"))
 
 
 def export_parity(left: DataFrame, right: DataFrame, keys: Sequence[str] = PARITY_KEYS,

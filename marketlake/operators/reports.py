@@ -55,7 +55,7 @@ def top_entities(silver: DataFrame, date_from: _dt.date, date_to: _dt.date, enti
                  limit: int = 10) -> DataFrame:
     """Top-n entities by subscribes, then spend (entity as final tiebreak)."""
     if entity not in ENTITIES:
-        raise ValueError("entity must be one of media_source, campaign, adset, ad")
+        raise ValueError(f"no such entity: {entity!r} (known: {list(ENTITIES)})")
     g = (_window(silver, date_from, date_to)
          .groupBy(F.coalesce(F.col(entity), F.lit(UNKNOWN_ENTITY)).alias("entity"))
          .agg(*_totals()))

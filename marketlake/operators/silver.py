@@ -145,8 +145,25 @@ def marketing_fact_ad(
 ) -> DataFrame:
     """Ad-grain facts. Event KPIs make the rows (per model); performance (installs,
     spend, currency) is looked up null-safely (J5); adset comes from the map (J6)."""
-    ev, perf = _ad_parts(source, date_from, date_to)
-    joined = ad_map_lookup(ad_perf_join(ev, perf), ad_map)
+    canon = canonical_source_rows(source, AD_GRAIN_DIMS, ad_grain=True, date_from=date_from, date_to=date_to)
+    perf = F.col("kpi_name") == K.KPI_AD_PERFORMANCE
+    model, base = attribution_model_of("kpi_name"), base_kpi_of("kpi_name")
+
+    def of(m: str) -> list[Column]:
+        mine = ~perf & (model == m)
+        sums = [F.sum(F.when(mine & (base == K.KPI_AD_PREFIX + e + K.KPI_UNIQUE_USERS_SUFFIX), F.coalesce("metric_value", F.lit(0.0)))
+                      .otherwise(0.0)).alias(e) for e in K.EVENT_NAMES]
+        latest = F.max(F.when(mine, F.nullif(F.col("fetched_at"), F.lit("")))).alias("fetched_at")
+        return [F.struct(F.count(F.when(mine, 1)).alias("n"), F.lit(m).alias("attribution_model"), *sums, latest)]
+
+    # one pass: performance and both models' events are folds of the same group
+    days = canon.groupBy("fact_date", *AD_GRAIN_DIMS).agg(
+        F.coalesce(F.max(F.when(perf, F.col("installs"))), F.lit(0.0)).alias("installs"),
+        F.coalesce(F.max(F.when(perf, F.col("cost"))), F.lit(0.0)).alias("spend"),
+        F.max(F.when(perf, F.col("currency"))).alias("currency"),
+        F.array(*of(K.MODEL_LTV), *of(K.MODEL_ACTIVITY)).alias("models"))
+    rows = days.withColumn("m", F.explode(F.filter("models", lambda x: x["n"] > 0))).select("*", "m.*").drop("models", "m", "n")
+    joined = ad_map_lookup(rows, ad_map)
     return joined.select(
         "fact_date",
         F.lit(K.SRC_MCP_AD).alias("source_system"),
@@ -192,5 +209,6 @@ def grain_fallback(source: DataFrame, grain_col: str = "grain_rank") -> DataFram
     """M3: per (kpi_name, fetch window) keep only the rows of the most preferred grouping
     (smallest ``grain_rank``) that returned rows."""
     keys = ["kpi_name", "fetch_window_from", "fetch_window_to"]
-    best = source.groupBy(*keys).agg(F.min(grain_col).alias("_best_rank"))
-    return source.join(best, keys, "inner").filter(F.col(grain_col) == F.col("_best_rank")).drop("_best_rank")
+    # one small row per window; AQE broadcasts it when measured small
+    best = source.groupBy(*keys).agg(F.min(grain_col).alias(grain_col))
+    return source.join(best, [*keys, grain_col], "left_semi")

@@ -12,7 +12,7 @@ from marketlake import constants as K
 from marketlake.operators import gold
 
 
-def gold_datasets(pull: DataFrame, silver: DataFrame, silver_ad: DataFrame, ad_map: DataFrame,
+def gold_datasets(pull: DataFrame, silver: DataFrame, silver_ad: DataFrame, ad_map: DataFrame | None,
                   tz: str = K.DEFAULT_BUSINESS_TZ) -> dict[str, DataFrame]:
     pull_ms = gold.pull_media_source_day(pull, tz)
     daily = gold.daily_totals(pull, silver, K.MODEL_LTV, tz)
@@ -40,9 +40,11 @@ def gold_refresh(pull: DataFrame, silver: DataFrame, silver_ad: DataFrame, ad_ma
     for name, df in out.items():
         if base_path:
             path = f"{base_path.rstrip('/')}/{name}"
-            w = df.write.mode("overwrite")
-            if "fact_date" in df.columns:
-                w = w.partitionBy("fact_date")
+            # static: a rebuilt table keeps no day that has gone; rebalanced: files follow the data
+            by = [c for c in ("fact_date",) if c in df.columns]
+            w = (df.hint("rebalance", *by) if by else df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            if by:
+                w = w.partitionBy(*by)
             w.parquet(path)
             df = spark.read.parquet(path)
             out[name] = df

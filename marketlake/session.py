@@ -21,10 +21,9 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    # Static broadcast only from planner estimates of scans; AQE decides the rest.
-    "spark.sql.autoBroadcastJoinThreshold": "16MB",
+    # No broadcast from the planner's estimates: only sides that AQE has measured.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # list many small landing folders in batches rather than one task per folder
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
@@ -50,12 +49,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def apply_job_conf(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing (cluster) session."""
+    """Set the runtime SQL settings that an existing (cluster) session leaves unset."""
+    chosen = spark.conf.getAll
     for k, v in JOB_CONF.items():
-        try:
+        if k not in chosen:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: keep the cluster's value
-            pass
     return spark
 
 

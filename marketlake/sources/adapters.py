@@ -62,7 +62,7 @@ def _s(c: Column) -> Column:
 def pull_from_lineitem(lineitem: DataFrame) -> DataFrame:
     day = F.dayofmonth("l_shipdate")
     ms_mod = F.col("l_suppkey") % 5
-    return lineitem.filter(day != 13).select(
+    return lineitem.select(
         F.to_date("l_shipdate").alias("fact_date"),
         F.when(ms_mod == 0, F.lit("")).otherwise(F.concat(F.lit("ms_"), _s(ms_mod))).alias("media_source"),
         F.concat(F.lit("cmp_"), _s(F.col("l_partkey") % 7)).alias("campaign"),
@@ -78,7 +78,8 @@ def pull_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.when(F.col("l_returnflag") == "N", F.lit(1.0)).otherwise(F.lit(0.0)).alias("af_subscribe"),
         F.when(F.col("l_linestatus") == "F", F.lit(1.0)).otherwise(F.lit(0.0)).alias("rc_trial_converted_event"),
         (F.col("l_linenumber") % 3).cast("double").alias("af_tutorial_completion"),
-        F.when(F.col("l_linenumber") == 7, F.lit("UTC")).otherwise(F.lit(DEFAULT_BUSINESS_TZ)).alias("timezone"),
+        # other zones don't count in the business day: a gap on the 13th without dropping rows
+        F.when((F.col("l_linenumber") == 7) | (day == 13), F.lit("UTC")).otherwise(F.lit(DEFAULT_BUSINESS_TZ)).alias("timezone"),
         F.lit(None).cast("string").alias("currency"),
         F.when(F.col("l_linenumber") == 6, F.lit(DEFAULT_REPORT_SEGMENT + REATTR_SEGMENT_SUFFIX))
         .otherwise(F.lit(DEFAULT_REPORT_SEGMENT)).alias("report_segment"),
@@ -97,11 +98,11 @@ def mcp_from_orders(orders: DataFrame) -> DataFrame:
     return (
         orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                       F.explode(kpis).alias("k"))
-        .filter(~((n == AD_GRAIN_FIRST) & (ok % 10 == 0)) & ~((n > AD_GRAIN_FIRST) & (ok % 13 == 0)))
         .select(
             F.date_sub(d, (ok % 3).cast("int")).alias("fetch_window_from"),
             d.alias("fetch_window_to"),
-            d.alias("fact_date"),
+            # some ad rows without a date: ads without performance, performance without events
+            F.when(~(((n == AD_GRAIN_FIRST) & (ok % 10 == 0)) | ((n > AD_GRAIN_FIRST) & (ok % 13 == 0))), d).alias("fact_date"),
             F.when(ms == 0, F.lit(None).cast("string")).when(ms == 5, F.lit("ms_only_mcp"))
             .otherwise(F.concat(F.lit("ms_"), _s(ms))).alias("media_source"),
             F.concat(F.lit("cmp_"), _s(ok % 7)).alias("campaign"),
@@ -124,19 +125,21 @@ def mcp_from_orders(orders: DataFrame) -> DataFrame:
 def ad_map_from_orders(orders: DataFrame) -> DataFrame:
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     ms = ck % 6
-    return orders.filter((ok % 9) % 2 == 0).select(
+    return orders.select(
         F.when(ms == 0, F.lit("")).when(ms == 5, F.lit("ms_only_mcp"))
         .otherwise(F.concat(F.lit("ms_"), _s(ms))).alias("media_source"),
         F.concat(F.lit("cmp_"), _s(ok % 7)).alias("campaign"),
         F.concat(F.lit("as_"), _s(ok % 4)).alias("adset"),
-        F.concat(F.lit("ad_"), _s(ok % 9)).alias("ad"),
+        # odd ads stand under a name that no fact has, so that some lookups miss
+        F.concat(F.when((ok % 9) % 2 == 0, F.lit("ad_")).otherwise(F.lit("other_")), _s(ok % 9)).alias("ad"),
         (ck % 50).cast("double").alias("installs"),
         ok.alias("ingest_seq"),
     )
 
 
-def _payload_dims(ok: Column) -> list[Column]:
-    """The 11 dimension fields of both raw reports, as JSON text pieces."""
+def _payload_dims(ok: Column, alone: Column, country: str) -> list[Column]:
+    """The 11 dimension fields of both raw reports, as JSON text pieces; ``country`` marks
+    rows (``alone``) whose key the other report doesn't have."""
     return [
         F.lit('{"app_id":'),
         F.when(ok % 9 == 0, F.lit("null")).otherwise(F.lit('"app_1"')),
@@ -147,21 +150,21 @@ def _payload_dims(ok: Column) -> list[Column]:
         F.lit(',"campaign":"Camp '), _s(ok % 7),
         F.lit('","campaign_id":"'), _s(ok % 7),
         F.lit('","adset":"as","adset_id":"1","ad":"ad","ad_id":"2","country":"'),
-        F.when(ok % 3 == 0, F.lit("US")).otherwise(F.lit("DE")),
+        F.when(alone, F.lit(country)).when(ok % 3 == 0, F.lit("US")).otherwise(F.lit("DE")),
     ]
 
 
 def raw_perf_from_lineitem(lineitem: DataFrame) -> DataFrame:
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     payload = F.concat(
-        *_payload_dims(ok),
+        *_payload_dims(ok, ln > 3, "FR"),
         F.lit('","impressions":'), _s(F.col("l_quantity").cast("int") * 100),
         F.lit(',"clicks":"'), F.when(ln == 2, F.lit("n/a")).otherwise(_s(ln)),
         F.lit('","installs":'), _s(ln % 3),
         F.lit(',"cost":'), _s(F.floor("l_extendedprice").cast("bigint")),
         F.lit("}"),
     )
-    return lineitem.filter(ln <= 3).select(F.to_date("l_shipdate").alias("_extract_date"), payload.alias("_payload"))
+    return lineitem.select(F.to_date("l_shipdate").alias("_extract_date"), payload.alias("_payload"))
 
 
 def raw_events_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -171,13 +174,13 @@ def raw_events_from_lineitem(lineitem: DataFrame) -> DataFrame:
         .when(ln % 4 == 2, F.lit("af_tutorial_completion")).otherwise(F.lit("rc_trial_converted_event"))
     )
     payload = F.concat(
-        *_payload_dims(ok),
+        *_payload_dims(ok, ln < 3, "IT"),
         F.lit('","event_name":"'), event,
         F.lit('","event_count":'), _s(ln),
         F.lit(',"revenue":'), _s(F.floor(F.col("l_extendedprice") * F.col("l_discount")).cast("bigint")),
         F.lit("}"),
     )
-    return lineitem.filter(ln >= 3).select(F.to_date("l_shipdate").alias("_extract_date"), payload.alias("_payload"))
+    return lineitem.select(F.to_date("l_shipdate").alias("_extract_date"), payload.alias("_payload"))
 
 
 def pull_refetch_from(pull: DataFrame) -> DataFrame:

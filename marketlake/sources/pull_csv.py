@@ -11,6 +11,7 @@ from __future__ import annotations
 import csv
 import datetime as _dt
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,15 +23,22 @@ PULL_FIELDS = ("fact_date", "media_source", "campaign", "adset", "ad", *K.PULL_M
 
 
 def field_for_header(header: str | None) -> str | None:
-    """Trimmed lower-case header -> field by exact synonym, else by the text before
-    the first '('; no match -> None."""
-    if header is None or not str(header).strip():
-        return None
-    key = str(header).strip().lower()
-    if key in K.PULL_HEADER_ALIASES:
-        return K.PULL_HEADER_ALIASES[key]
-    base = key.split("(")[0].strip()
-    return K.PULL_HEADER_ALIASES.get(base)
+    """The field a header feeds, or None.
+
+    A header is compared without case and outer white space, once in full and once
+    without its parenthesised tail; the full form has precedence.
+    """
+    full = (header or "").strip().lower()
+    short, _, _ = full.partition("(")
+    known = (K.PULL_HEADER_ALIASES.get(form) for form in (full, short.rstrip()))
+    return next((field for field in known if field), None)
+
+
+def header_field(header: Column) -> Column:
+    """P3 as a column expression."""
+    known = F.create_map(*[F.lit(x) for kv in K.PULL_HEADER_ALIASES.items() for x in kv])
+    full = F.lower(py_strip(header))
+    return F.coalesce(known[full], known[py_strip(F.substring_index(full, "(", 1))])
 
 
 def header_plan(headers: Sequence[str]) -> dict[str, int]:
@@ -44,28 +52,19 @@ def header_plan(headers: Sequence[str]) -> dict[str, int]:
     return plan
 
 
-def _first_line(spark: SparkSession, path: str) -> str:
-    row = spark.read.text(path).limit(1).collect()  # one line of metadata per file
-    return row[0][0] if row else ""
-
-
-FEW_FILES = 8
-
-
 def header_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First line of every non-empty file, keyed by a path Spark can read.
+    """First line of every non-empty file by its path, one job for any number of files.
 
-    A few files: one tiny probe each (reads one line). Many files: one job over the first
-    block of each file, keeping the line read first (ids increase in read order within a
-    task), keyed by the file URI Spark reports; only the header lines reach the driver."""
-    if len(paths) <= FEW_FILES:
-        return {p: _first_line(spark, p) for p in paths}
+    Ids increase in read order within a task, so the smallest id of a file's first
+    block is its first line. What reaches the driver is metadata: a path and a header
+    for each file. Spark reports paths URI-encoded; readers want them plain.
+    """
     lines = (spark.read.text(list(paths))
              .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
                      F.col("value"), F.monotonically_increasing_id().alias("i"))
              .filter(F.col("b") == 0))
     first = lines.groupBy("f").agg(F.min_by("value", "i").alias("header"))
-    return {r.f: r.header for r in first.collect()}
+    return {unquote(r.f): r.header for r in first.collect()}
 
 
 def normalize_pull_rows(df: DataFrame, headers: Sequence[str], report_segment: str,
@@ -90,15 +89,19 @@ def normalize_pull_rows(df: DataFrame, headers: Sequence[str], report_segment: s
     if conversion_type:
         ct = [i for i, h in enumerate(headers) if h.strip().lower() == "conversion type"]
         out.append((F.col(f"`{cols[ct[0]]}`") if ct else F.lit(None).cast("string")).alias("conversion_type"))
-    rows = df.select(*out).filter(F.col("fact_date_text").isNotNull())
-    return rows.withColumn("fact_date", parse_date("fact_date_text")).drop("fact_date_text").select(
-        "fact_date", *[c for c in rows.columns if c != "fact_date_text"])
+    rows = df.select(*out).withColumn("fact_date", parse_date("fact_date_text")).drop("fact_date_text")
+    # no date, or one that can't be read: the row has no day to count for
+    return rows.filter(F.col("fact_date").isNotNull()).select("fact_date", *[c for c in rows.columns if c != "fact_date"])
 
 
 def pull_csv_scan(spark: SparkSession, paths: Sequence[str], report_segment: str = K.DEFAULT_REPORT_SEGMENT,
                   tz: str = K.DEFAULT_BUSINESS_TZ, fetched_at: str | None = None,
                   conversion_type: bool = False) -> DataFrame:
-    """Header CSV files -> canonical Pull rows; rows without a date are dropped."""
+    """Header CSV files -> canonical Pull rows; rows without a readable date are dropped.
+
+    Quoted fields may hold commas, doubled quotes and line ends, so a file is read by
+    one task (the vendor sends a file a day); many files spread over the cluster.
+    """
     fetched_at = fetched_at or _dt.datetime.now(_dt.timezone.utc).isoformat()
     groups: dict[tuple[str, ...], list[str]] = {}
     for p, line in header_lines(spark, paths).items():
@@ -108,7 +111,7 @@ def pull_csv_scan(spark: SparkSession, paths: Sequence[str], report_segment: str
         groups.setdefault(headers, []).append(p)
     out: DataFrame | None = None
     for headers, ps in groups.items():
-        df = (spark.read.option("header", True).option("multiLine", False).option("mode", "PERMISSIVE")
+        df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE")
               .option("enforceSchema", False).csv(ps))
         part = normalize_pull_rows(df, headers, report_segment, tz, fetched_at, conversion_type)
         out = part if out is None else out.unionByName(part)

@@ -10,17 +10,10 @@ TABLES = (
 )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One supplied table; Catalyst prunes columns and pushes filters into the scan.
 
-    ``spread``: a scan that yields fewer splits than the cluster has cores (one small
-    file, one row group) is spread round-robin so the narrow work after it (the KPI
-    fan-out, JSON parsing, partial aggregation) uses every core. Large inputs already
-    split into many tasks and are left alone (no extra shuffle).
+    How a scan is split is the session's matter (``spark.sql.files.maxPartitionBytes``):
+    no exchange is added here.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

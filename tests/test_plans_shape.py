@@ -1,13 +1,14 @@
 """Plan-shape guards: no cartesian / nested-loop joins, pruned scans, no Python on the data path."""
 
-import __spark_entry__ as E
+from marketlake import catalog
 
-FILE_QUERIES = {"raw_report_scan", "raw_lineage", "batch_ledger", "raw_report_stream", "pull_csv_scan", "raw_export"}
+FILE_QUERIES = {"raw_report_scan", "raw_lineage", "batch_ledger", "raw_report_stream", "pull_csv_scan", "raw_export",
+                "mcp_response_scan", "metric_column_identify"}
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")
 
 
 def test_no_cartesian_or_python_and_pruned_scans(spark):
-    qs = E.queries()
+    qs = catalog.QUERIES
     for name, fn in qs.items():
         if name in FILE_QUERIES:
             continue

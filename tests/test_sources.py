@@ -155,3 +155,53 @@ def test_mcp_response_quoted_newline(spark):
     df = spark.createDataFrame([("k", "2026-01-01", "2026-01-01", "f", text)], RESP_SCHEMA)
     out = {r.media_source: (r.campaign, r.metric_value) for r in mcp_text.mcp_response_scan(df).collect()}
     assert out == {"fb": ("Spring\nSale", 5.0), "g": ("a,b", 6.0)}
+
+
+def test_raw_scan_fails_on_bad_files_whatever_is_selected(spark, tmp_dir):
+    write(f"{tmp_dir}/ok/aggregated_performance/dt=2026-01-01/a.json", json.dumps([{"x": 1}]))
+    bad = {"cut": '[{"x": 1}, {"y"', "text": "no json", "number": "3"}
+    for name, body in bad.items():
+        write(f"{tmp_dir}/{name}/aggregated_performance/dt=2026-01-01/a.json", body)
+    write(f"{tmp_dir}/report/mystery/dt=2026-01-01/a.json", "[{}]")
+    write(f"{tmp_dir}/day/aggregated_performance/dt=2026-13-01/a.json", "[{}]")
+    for name in (*bad, "report", "day"):
+        df = raw_json.raw_report_scan(spark, [f"{tmp_dir}/ok/*/*/*.json", f"{tmp_dir}/{name}/*/*/*.json"])
+        with pytest.raises(Exception, match="unreadable report body|no known report"):
+            df.count()
+        with pytest.raises(Exception, match="unreadable report body|no known report"):
+            df.select("_payload").collect()
+
+
+def test_ledger_has_a_row_for_an_empty_batch(spark, tmp_dir):
+    write(f"{tmp_dir}/aggregated_performance/dt=2026-01-01/a.json", "[]")
+    write(f"{tmp_dir}/aggregated_performance/dt=2026-01-02/a.json", '{"rows": [{"a": 1}, {"a": 2}]}')
+    write(f"{tmp_dir}/aggregated_performance/dt=2026-01-03/a.json", '{"other": 1}')
+    scan = raw_json.raw_report_scan(spark, f"{tmp_dir}/*/*/*.json", keep_empty=True)
+    assert sorted(r.row_count for r in raw_json.batch_ledger(scan).collect()) == [0, 0, 2]
+    assert raw_json.raw_report_scan(spark, f"{tmp_dir}/*/*/*.json").count() == 2
+
+
+def test_pull_csv_quotes_folders_with_spaces_and_bad_dates(spark, tmp_dir):
+    paths = []
+    for i in range(12):
+        p = f"{tmp_dir}/p q/f{i}.csv"
+        write(p, f'Date,Campaign (c),Installs\n2026-01-{i + 1:02d},"x ""y"", z\nw",{i}\n01/02/2026,c,1\n')
+        paths.append(p)
+    rows = {r.fact_date.day: (r.campaign, r.installs) for r in pull_csv.pull_csv_scan(spark, paths).collect()}
+    assert rows == {i + 1: ('x "y", z\nw', float(i)) for i in range(12)}
+
+
+def test_mcp_response_leading_newline_quotes_and_many_columns(spark):
+    head = ",".join(["Date", "Campaign", *[f"p{i}" for i in range(80)], "Users"])
+    one = '2026-01-01,"a ""b"", c",' + "," * 80 + "79"
+    text = f"## Data:\n{head}\r\n{one}\r\n2026-01-01,plain,{',' * 80}78 ; ## Metadata: {{\"timezone\": \"UTC\"}}\n"
+    df = spark.createDataFrame([("k", "2026-01-01", "2026-01-01", "f", text), ("e", "2026-01-01", "2026-01-01", "f", "## Data: \n")], RESP_SCHEMA)
+    out = {r.campaign: (r.metric_column, r.metric_value, r.timezone) for r in mcp_text.mcp_response_scan(df).collect()}
+    assert out == {'a "b", c': ("Users", 79.0, "UTC"), "plain": ("Users", 78.0, "UTC")}
+
+
+def test_mcp_response_of_many_quoted_records(spark):
+    text = "## Data:Date,Campaign,Users\n" + "\n".join(f'2026-01-01,"c {i}",{i}' for i in range(20_000))
+    df = spark.createDataFrame([("k", "2026-01-01", "2026-01-01", "f", text)], RESP_SCHEMA)
+    got = mcp_text.mcp_response_scan(df).agg(F.count("*").alias("n"), F.sum("metric_value").alias("s")).first()
+    assert (got.n, got.s) == (20_000, sum(range(20_000)))
