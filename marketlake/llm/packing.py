@@ -190,5 +190,6 @@ def pack(
         parts = max(least, (parts or files) // 8)
         todo = packed.where(F.col("fill") < length - slack).repartition(parts)
     bins = done.unionByName(packed)
-    out = bins.select(F.monotonically_increasing_id().alias("sequence_id"), F.explode("items").alias("i"))
+    bins = bins.withColumn("sequence_id", F.monotonically_increasing_id())  # of bins: before they are exploded
+    out = bins.select("sequence_id", F.explode("items").alias("i"))
     return out.select("i.doc_id", "i.piece", "i.start", "i.length", "i.ids_crc32", "sequence_id", "i.offset")
