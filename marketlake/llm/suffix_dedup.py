@@ -83,8 +83,10 @@ class Cutter:
         odd = 0x9E3779B97F4A7C15
         inverse = pow(odd, -1, 1 << 64)
         n = PART + 2 * length
-        self.power = np.multiply.accumulate(np.concatenate([[1], np.full(n, odd)]).astype(np.uint64))
-        self.back = np.multiply.accumulate(np.concatenate([[1], np.full(n, inverse)]).astype(np.uint64))
+        self.power, self.back = (np.full(n, x, np.uint64) for x in (odd, inverse))
+        for powers in (self.power, self.back):
+            powers[0] = 1
+            np.multiply.accumulate(powers, out=powers)
 
     def __call__(self, text: bytes) -> tuple[np.ndarray, ...]:
         found = [self._part(text[a : a + PART + self.length - 1], a) for a in range(0, max(0, len(text) - self.length + 1), PART)]

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from marketlake.llm import decontaminate, packing, pii, quality, queries, secrets_scan, sharding, simhash, topk, urlfilter
+from marketlake.llm import decontaminate, packing, pii, quality, queries, secrets_scan, sharding, simhash, suffix_dedup, topk, urlfilter
 
 SF = "/root/testdata/sf0.001"
 DOCS = T.StructType([
