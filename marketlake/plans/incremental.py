@@ -1,10 +1,14 @@
 """One incremental run over a lookback window.
 
 Pull: cost-preserving replace of the new fetch (J8), reattribution replace (J9),
-dedupe (W1). Tool source: upsert of the new source rows (J10), silver rebuild of
-the window (A18 + A20), ad-grain map (J12) and silver (A19). Gold is rebuilt from
-the results (S10) and freshness reported (A26). Every result is written as a new
-version of its table (lineage is cut by the write; the input paths are not touched).
+dedupe (W1). Tool source: upsert of the new source rows (J10), then the window of
+silver (A18, A20) and, with the ad map (J12), of ad-grain silver (A19). Gold (S10)
+is rebuilt for the window's dates and the weeks they belong to, and freshness
+reported (A26).
+
+Every table is partitioned by date. A run reads and writes the window's partitions
+only; a stored week is read whole for the weekly rollup. The ad map is one small
+table without dates: it is written as a new version.
 """
 
 from __future__ import annotations
@@ -16,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlake import constants as K
 from marketlake.functions import lookback_bounds
-from marketlake.operators import pull as pull_ops, reports, silver, upserts
-from marketlake.plans import gold_refresh, materialize
+from marketlake.operators import gold, pull as pull_ops, reports, silver, upserts
+from marketlake.plans import gold_refresh
+from marketlake.plans.materialize import in_window, read_latest, read_table, replace_window, write_new_version
 
 
 @dataclass
@@ -32,46 +37,56 @@ class Stores:
     gold: str
 
 
+def _stored(df: DataFrame, base: str, date_from: _dt.date, date_to: _dt.date) -> DataFrame:
+    """Write the window of ``df`` and give the table's window back."""
+    replace_window(df, base, date_from, date_to)
+    return read_table(df.sparkSession, base, df).filter(in_window(date_from, date_to))
+
+
+def rebuild_window(spark: SparkSession, stores: Stores, pull: DataFrame, source: DataFrame, ad_map: DataFrame,
+                   date_from: _dt.date, date_to: _dt.date, tz: str = K.DEFAULT_BUSINESS_TZ) -> dict[str, DataFrame]:
+    """Silver and gold of the window from the stored Pull and source rows; the tables, by name."""
+    day = in_window(date_from, date_to)
+    sil = _stored(silver.marketing_fact_daily(source, tz, date_from, date_to), stores.silver, date_from, date_to)
+    sil_ad = _stored(silver.marketing_fact_ad(source, ad_map, tz, date_from, date_to), stores.silver_ad, date_from, date_to)
+    out = {}
+    for name, df in gold_refresh.gold_datasets(pull.filter(day), sil, sil_ad, None, tz).items():
+        if name == "growth_weekly_totals":
+            continue
+        path = f"{stores.gold.rstrip('/')}/{name}"
+        replace_window(df, path, date_from, date_to)
+        out[name] = read_table(spark, path, df)
+    # weeks that hold a date of the window, from all their stored days
+    monday = date_from - _dt.timedelta(days=date_from.weekday())
+    sunday = date_to + _dt.timedelta(days=6 - date_to.weekday())
+    weekly = gold.weekly_totals(out["growth_daily_totals"].filter(in_window(monday, sunday)))
+    path = f"{stores.gold.rstrip('/')}/growth_weekly_totals"
+    replace_window(weekly, path, monday, sunday, "week_start")
+    out["growth_weekly_totals"] = read_table(spark, path, weekly)
+    for name, df in out.items():
+        df.createOrReplaceTempView(name)
+    return out
+
+
 def run_incremental(spark: SparkSession, stores: Stores, pull_fetch: DataFrame, reattr_fetch: DataFrame,
                     source_fetch: DataFrame, map_fetch: DataFrame, today: _dt.date,
                     lookback_days: int = 14, tz: str = K.DEFAULT_BUSINESS_TZ) -> dict[str, DataFrame]:
+    """One run: fetched rows outside the window are not taken (another window is another run)."""
     date_from, date_to = lookback_bounds(today, lookback_days)
+    day = in_window(date_from, date_to)
+
+    stored = read_table(spark, stores.pull, pull_fetch).filter(day)
+    merged = pull_ops.cost_preserving_replace(stored, pull_fetch.filter(day), date_from, date_to, tz=tz)
+    merged = pull_ops.reattr_replace(merged, reattr_fetch.filter(day), date_from, date_to, tz=tz)
+    pull = _stored(pull_ops.pull_dedupe(merged), stores.pull, date_from, date_to)
 
-    def latest(base: str, like: DataFrame) -> DataFrame:
-        df = materialize.read_latest(spark, base)
-        return df if df is not None else spark.createDataFrame([], like.schema)
-
-    # Pull side
-    stored_pull = latest(stores.pull, pull_fetch)
-    merged = pull_ops.cost_preserving_replace(stored_pull, pull_fetch, date_from, date_to, tz=tz)
-    merged = pull_ops.reattr_replace(merged, reattr_fetch, date_from, date_to, tz=tz)
-    merged = pull_ops.pull_dedupe(merged)
-    pull_path = materialize.write_new_version(merged, stores.pull)
-
-    # Tool side
-    stored_src = latest(stores.source_rows, source_fetch)
-    src = upserts.source_upsert(stored_src, source_fetch)
-    src_path = materialize.write_new_version(src, stores.source_rows)
-    src = spark.read.parquet(src_path)
-    rebuilt = silver.marketing_fact_daily(src, tz, date_from, date_to)
-    stored_silver = materialize.read_latest(spark, stores.silver)
-    new_silver = rebuilt if stored_silver is None else silver.silver_window_rebuild(
-        stored_silver, rebuilt, date_from, date_to, K.SRC_MCP)
-    silver_path = materialize.write_new_version(new_silver, stores.silver)
-
-    stored_map = materialize.read_latest(spark, stores.ad_map)
+    stored_src = read_table(spark, stores.source_rows, source_fetch).filter(day)
+    source = _stored(upserts.source_upsert(stored_src, source_fetch.filter(day)), stores.source_rows, date_from, date_to)
+
+    stored_map = read_latest(spark, stores.ad_map)
     map_rows = map_fetch if stored_map is None else stored_map.unionByName(map_fetch, allowMissingColumns=True)
-    ad_map_path = materialize.write_new_version(silver.adset_ad_map(map_rows.fillna({"ingest_seq": 0})), stores.ad_map,
-                                                partition_by=None)
-    ad_map = spark.read.parquet(ad_map_path)
-    rebuilt_ad = silver.marketing_fact_ad(src, ad_map, tz, date_from, date_to)
-    stored_ad = materialize.read_latest(spark, stores.silver_ad)
-    new_ad = rebuilt_ad if stored_ad is None else silver.silver_window_rebuild(stored_ad, rebuilt_ad, date_from, date_to)
-    ad_path = materialize.write_new_version(new_ad, stores.silver_ad)
-
-    pull = spark.read.parquet(pull_path)
-    silver_df = spark.read.parquet(silver_path)
-    gold = gold_refresh.gold_refresh(pull, silver_df, spark.read.parquet(ad_path), ad_map, tz,
-                                     base_path=f"{stores.gold.rstrip('/')}/v={_dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}")
-    gold["freshness"] = reports.freshness(gold["growth_daily_totals"], today)
-    return gold
+    ad_map = spark.read.parquet(write_new_version(silver.adset_ad_map(map_rows.fillna({"ingest_seq": 0})), stores.ad_map))
+
+    out = rebuild_window(spark, stores, pull, source, ad_map, date_from, date_to, tz)
+    out["freshness"] = reports.freshness(out["growth_daily_totals"], today)
+    return out

@@ -1,44 +1,71 @@
-"""Materialisation: date-partitioned tables and versioned rewrites.
+"""Materialisation: date-partitioned tables, replaced window by window, and versioned small tables.
 
-A rewrite never overwrites the path it reads: the merged result goes to a fresh
-version directory under the table's base path, and readers switch to the newest
-complete version (a ``_SUCCESS`` marker is written last by the committer).
-Version directories live under the caller's shared storage, never a machine-local
-temp folder.
+A window's new rows are staged first (they are usually derived from the table
+itself), then only the window's partitions are overwritten, and those that have
+no rows any more are deleted. All other partitions keep their files. Staging
+lies in the session's shared checkpoint folder, tables under the caller's shared
+storage, never in a machine-local folder.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-
-def write_by_date(df: DataFrame, path: str, date_col: str = "fact_date", dynamic: bool = True) -> None:
-    """Write partitioned by date; with ``dynamic`` only the dates present are replaced."""
-    w = df.write.mode("overwrite").partitionBy(date_col)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+from marketlake.session import scratch_path
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def read_table(spark: SparkSession, base: str, like: DataFrame) -> DataFrame:
+    """A date-partitioned table, empty with the columns of ``like`` before its first write."""
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return spark.createDataFrame([], like.schema)
+    return spark.read.schema(like.schema).parquet(base)
+
+
+def in_window(date_from: _dt.date, date_to: _dt.date, date_col: str = "fact_date"):
+    return F.col(date_col).between(F.lit(date_from), F.lit(date_to))
+
+
+def replace_window(df: DataFrame, base: str, date_from: _dt.date, date_to: _dt.date, date_col: str = "fact_date") -> None:
+    """Make ``df``'s rows of [from, to] the table's rows of that window.
+
+    Rows outside the window are not written. AQE rebalances the rows by date, so a
+    large day has several files and a small one a single file. The window's length
+    in days bounds what the driver does.
+    """
+    spark = df.sparkSession
+    staged = scratch_path(spark, f"window-{uuid.uuid4().hex}")
+    df.filter(in_window(date_from, date_to, date_col)).write.parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    (rows.hint("rebalance", date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(date_col).parquet(base))
+    kept = {r[0] for r in rows.select(date_col).distinct().collect()}  # at most the window's days
+    fs, _ = _fs(spark, base)
+    for n in range((date_to - date_from).days + 1):
+        day = date_from + _dt.timedelta(days=n)
+        if day not in kept:
+            fs.delete(_fs(spark, f"{base.rstrip('/')}/{date_col}={day.isoformat()}")[1], True)
+    fs.delete(_fs(spark, staged)[1], True)
+
+
 def versions(spark: SparkSession, base: str) -> list[str]:
     """Complete versions (``v=<n>`` with a success marker), oldest first."""
     fs, p = _fs(spark, base)
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(name)
-    return sorted(out, key=lambda n: int(n[2:]))
+    names = [st.getPath() for st in fs.listStatus(p) if st.getPath().getName().startswith("v=")]
+    done = [x.getName() for x in names if fs.exists(x.suffix("/_SUCCESS"))]
+    return sorted(done, key=lambda n: int(n[2:]))
 
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
@@ -46,17 +73,13 @@ def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
     return spark.read.parquet(f"{base.rstrip('/')}/{vs[-1]}") if vs else None
 
 
-def write_new_version(df: DataFrame, base: str, partition_by: str | None = "fact_date") -> str:
-    """Write ``df`` as the next version of ``base`` and return its path."""
+def write_new_version(df: DataFrame, base: str, keep: int = 2) -> str:
+    """Write ``df`` as the next version of ``base`` (for tables that are replaced whole) and
+    return its path. The last ``keep`` versions stay: a reader of the one before can finish."""
+    spark = df.sparkSession
     path = f"{base.rstrip('/')}/v={int(time.time() * 1000)}"
-    w = df.write.mode("errorifexists")
-    if partition_by and partition_by in df.columns:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    df.write.mode("errorifexists").parquet(path)
+    fs, _ = _fs(spark, base)
+    for old in versions(spark, base)[:-keep]:
+        fs.delete(_fs(spark, f"{base.rstrip('/')}/{old}")[1], True)
     return path
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's shared checkpoint folder (survives executor
-    loss; unlike a local checkpoint it does not live on executors)."""
-    return df.checkpoint(eager=True)

@@ -1,31 +1,82 @@
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
 from marketlake import catalog
-from marketlake.operators import pull as pull_ops
+from marketlake.operators import pull as pull_ops, silver
 from marketlake.plans import incremental, materialize
 
+SF = "/root/testdata/sf0.001"
 
-def test_incremental_run_twice(spark, tmp_dir):
-    inp = catalog.Inputs(spark, "/root/testdata/sf0.001")
-    today = dt.date(1996, 3, 31)
-    lo = today - dt.timedelta(days=13)
+
+def window(inp, today, days):
+    lo = today - dt.timedelta(days=days - 1)
     win = F.col("fact_date").between(F.lit(lo), F.lit(today))
-    stores = incremental.Stores(*[f"{tmp_dir}/{n}" for n in ("pull", "src", "silver", "map", "silver_ad", "gold")])
-    pull_fetch = inp.pull.filter(win & (F.col("report_segment") == "partners_by_date_report"))
+    pull = inp.pull.filter(win & (F.col("report_segment") == "partners_by_date_report"))
     reattr = pull_ops.retarget_rewrite(inp.pull.filter(win & (F.col("report_segment") != "partners_by_date_report")))
-    src = inp.mcp.filter(win).withColumn("ingest_seq", F.lit(1))
-    amap = inp.ad_map_rows
-    out1 = incremental.run_incremental(spark, stores, pull_fetch, reattr, src, amap, today)
-    f1 = out1["freshness"].first()
-    assert f1.row_count > 0 and f1.max_fact_date <= today
-    n_pull = materialize.read_latest(spark, stores.pull).count()
-    # second run with the same fetches: idempotent pull and silver
-    out2 = incremental.run_incremental(spark, stores, pull_fetch, reattr, src.withColumn("ingest_seq", F.lit(2)),
-                                       amap, today)
-    assert materialize.read_latest(spark, stores.pull).count() == n_pull
-    assert len(materialize.versions(spark, stores.pull)) == 2
-    d1 = sorted(map(tuple, out1["growth_daily_totals"].select("fact_date", "spend").collect()))
-    d2 = sorted(map(tuple, out2["growth_daily_totals"].select("fact_date", "spend").collect()))
-    assert d1 == d2
+    return pull, reattr, inp.mcp.filter(win).withColumn("ingest_seq", F.lit(1))
+
+
+def files(base):
+    return {os.path.relpath(os.path.join(d, f), base) for d, _, fs in os.walk(base) for f in fs if f.endswith(".parquet")}
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.select(*sorted(df.columns)).collect())
+
+
+def test_runs_touch_their_window_only(spark, tmp_dir):
+    inp = catalog.Inputs(spark, SF)
+    stores = incremental.Stores(*[f"{tmp_dir}/{n}" for n in ("pull", "src", "silver", "map", "silver_ad", "gold")])
+    first = dt.date(1996, 3, 31)
+    out = incremental.run_incremental(spark, stores, *window(inp, first, 42), inp.ad_map_rows, first, 42)
+    assert out["freshness"].first().max_fact_date <= first
+    before = {t: files(f"{tmp_dir}/{t}") for t in ("pull", "src", "silver", "silver_ad", "gold/growth_daily_totals")}
+    old_weeks = rows(out["growth_weekly_totals"])
+
+    # the same fetches again over a shorter window: equal rows, and older partitions keep their files
+    lo = first - dt.timedelta(days=6)
+    again = incremental.run_incremental(spark, stores, *window(inp, first, 7), inp.ad_map_rows, first, 7)
+    for t, had in before.items():
+        now = files(f"{tmp_dir}/{t}")
+        old = {f for f in had if f.split("/")[0] < f"fact_date={lo}"}
+        assert old and old == {f for f in now if f.split("/")[0] < f"fact_date={lo}"} and now != had
+    assert rows(again["growth_weekly_totals"]) == old_weeks
+    whole = silver.marketing_fact_daily(inp.mcp, date_from=first - dt.timedelta(days=41), date_to=first)
+    assert spark.read.parquet(stores.silver).count() == whole.count()
+    assert len(materialize.versions(spark, stores.ad_map)) == 2
+
+    # a day that the source no longer has vanishes
+    src = spark.read.parquet(stores.source_rows)
+    days = sorted(r.fact_date for r in again["growth_breakdowns"].select("fact_date").distinct().collect() if lo <= r.fact_date <= first)
+    gone, stays = days[0], days[-1]
+    assert gone < stays
+    incremental.rebuild_window(spark, stores, spark.read.parquet(stores.pull), src.filter(F.col("fact_date") != F.lit(gone)),
+                               materialize.read_latest(spark, stores.ad_map), lo, first)
+    assert not os.path.exists(f"{stores.silver}/fact_date={gone}")
+    assert os.path.exists(f"{stores.silver}/fact_date={stays}")
+
+
+def test_stream_batches_rebuild_touched_dates(spark, tmp_dir):
+    from marketlake.streaming import raw_stream
+
+    inp = catalog.Inputs(spark, SF)
+    stores = incremental.Stores(*[f"{tmp_dir}/{n}" for n in ("pull", "src", "silver", "map", "silver_ad", "gold")])
+    landing = f"{tmp_dir}/landing"
+    for day in ("1996-03-05", "1996-03-06"):
+        os.makedirs(f"{landing}/aggregated_performance/dt={day}")
+        with open(f"{landing}/aggregated_performance/dt={day}/a.json", "w") as f:
+            f.write('[{"cost": 1}]')
+    ad_map = silver.adset_ad_map(inp.ad_map_rows)
+
+    def recompute(dates, epoch_id):
+        lo, hi = dates.agg(F.min("fact_date"), F.max("fact_date")).first()
+        incremental.rebuild_window(spark, stores, inp.pull, inp.mcp, ad_map, lo, hi)
+
+    q = (raw_stream.raw_report_stream(spark, landing).writeStream
+         .foreachBatch(raw_stream.recompute_on_batch(recompute))
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.fact_date for r in spark.read.parquet(f"{stores.gold}/growth_daily_totals").collect()}
+    assert got == {dt.date(1996, 3, 5), dt.date(1996, 3, 6)}
