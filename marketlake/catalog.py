@@ -690,7 +690,7 @@ def q_gold_refresh(spark, sf_dir):
 def q_source_priority_join(spark, sf_dir):
     m = Model(spark, sf_dir)
     return gold.source_priority(m.pull, m.silver, K.MODEL_LTV, m.tz).select(
-        "fact_date", "p_spend", "m_spend", F.col("p_present").isNotNull().alias("pull_present"), "pull_wins")
+        "fact_date", "pull_spend", "own_spend", F.col("pull_present").isNotNull().alias("pull_present"), "takes_pull")
 
 
 @query("pull_day")
@@ -709,8 +709,8 @@ def q_scale_join(spark, sf_dir):
     m = Model(spark, sf_dir)
     detail = gold._detail_from_daily(m.silver, gold.ADSET, K.MODEL_LTV)
     return gold.scale_join(detail, gold.pull_media_source_day(m.pull, m.tz)).select(
-        "fact_date", "media_source", "campaign", "adset", "spend", "m_spend", "p_spend",
-        "installs", "m_installs", "p_installs")
+        "fact_date", "media_source", "campaign", "adset", "spend", "own_spend", "pull_spend",
+        "installs", "own_installs", "pull_installs")
 
 
 @query("adset_resolve")

@@ -110,3 +110,8 @@ PULL_METRICS = (
     "installs", "clicks", "impressions", "cost", "revenue",
     "af_start_trial", "af_subscribe", "rc_trial_converted_event", "af_tutorial_completion",
 )
+
+# Keys and values that export parity compares
+PARITY_KEYS = ("fact_date", "source_system", "media_source", "campaign", "adset", "ad")
+PARITY_VALUES = ("installs", "spend", "af_start_trial", "af_subscribe", "af_tutorial_completion",
+                 "rc_trial_converted_event", "arpu_ltv", "currency", "timezone")

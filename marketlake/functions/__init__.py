@@ -12,6 +12,7 @@ from marketlake.functions.dates import (
     lookback_bounds,
     business_today,
     parse_date,
+    storage_date,
 )
 from marketlake.functions.kpi import attribution_model_of, base_kpi_of, is_ad_grain
 from marketlake.functions.ratios import ratio_if_positive, ratio_if_nonzero, scale_factor

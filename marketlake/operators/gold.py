@@ -57,13 +57,13 @@ def source_priority(pull: DataFrame, silver: DataFrame, model: str = K.MODEL_LTV
     absent) is 0."""
     ltv = model == K.MODEL_LTV
     p = pull_day(pull, tz, with_revenue=ltv)
-    p = p.select("fact_date", *[F.col(c).alias("p_" + c) for c in p.columns if c != "fact_date"],
-                 F.lit(True).alias("p_present"))
+    p = p.select("fact_date", *[F.col(c).alias("pull_" + c) for c in p.columns if c != "fact_date"],
+                 F.lit(True).alias("pull_present"))
     m = mcp_day(silver, model)
-    m = m.select("fact_date", *[F.col(c).alias("m_" + c) for c in m.columns if c != "fact_date"])
+    m = m.select("fact_date", *[F.col(c).alias("own_" + c) for c in m.columns if c != "fact_date"])
     j = p.join(m, "fact_date", "full_outer")
-    pull_wins = (_z("p_spend") > 0) | (F.col("p_present").isNotNull() & (_z("m_spend") == 0))
-    return j.withColumn("pull_wins", pull_wins)
+    takes_pull = (_z("pull_spend") > 0) | (F.col("pull_present").isNotNull() & (_z("own_spend") == 0))
+    return j.withColumn("takes_pull", takes_pull)
 
 
 def daily_totals(pull: DataFrame, silver: DataFrame, model: str = K.MODEL_LTV,
@@ -75,7 +75,7 @@ def daily_totals(pull: DataFrame, silver: DataFrame, model: str = K.MODEL_LTV,
     j = source_priority(pull, silver, model, tz)
 
     def pick(c: str) -> Column:
-        return F.when(F.col("pull_wins"), _z("p_" + c)).otherwise(_z("m_" + c))
+        return F.when(F.col("takes_pull"), _z("pull_" + c)).otherwise(_z("own_" + c))
 
     cols = [
         "fact_date",
@@ -87,14 +87,14 @@ def daily_totals(pull: DataFrame, silver: DataFrame, model: str = K.MODEL_LTV,
         pick("af_subscribe").alias("af_subscribe"),
     ]
     if ltv:
-        cols.append(_z("p_revenue").alias("revenue"))
+        cols.append(_z("pull_revenue").alias("revenue"))
     cols += [
         pick("rc_trial_converted_event").alias("rc_trial_converted_event"),
         pick("af_tutorial_completion").alias("af_tutorial_completion"),
         ratio_if_positive(pick("spend"), pick("af_subscribe")).alias("cac"),
-        F.when(F.col("pull_wins"), F.lit(K.SRC_PULL)).otherwise(F.lit(m_src)).alias("primary_source"),
-        F.when(F.col("pull_wins"), F.lit(K.CONF_HIGH)).otherwise(F.lit(K.CONF_MEDIUM)).alias("source_confidence"),
-        F.coalesce(F.col("p_fetched_at"), F.col("m_fetched_at")).alias("fetched_at"),
+        F.when(F.col("takes_pull"), F.lit(K.SRC_PULL)).otherwise(F.lit(m_src)).alias("primary_source"),
+        F.when(F.col("takes_pull"), F.lit(K.CONF_HIGH)).otherwise(F.lit(K.CONF_MEDIUM)).alias("source_confidence"),
+        F.coalesce(F.col("pull_fetched_at"), F.col("own_fetched_at")).alias("fetched_at"),
     ]
     return j.select(*cols)
 
@@ -168,8 +168,8 @@ def pull_media_source_day(pull: DataFrame, tz: str = K.DEFAULT_BUSINESS_TZ) -> D
     return (
         pull.filter(F.col("timezone") == tz)
         .groupBy("fact_date", "media_source")
-        .agg(_sum0("cost", "p_spend"), _sum0("installs", "p_installs"),
-             _sum0("af_start_trial", "p_trials"), _sum0("af_subscribe", "p_subs"))
+        .agg(_sum0("cost", "pull_spend"), _sum0("installs", "pull_installs"),
+             _sum0("af_start_trial", "pull_trials"), _sum0("af_subscribe", "pull_subs"))
     )
 
 
@@ -220,8 +220,8 @@ def scale_join(detail: DataFrame, pull_ms: DataFrame) -> DataFrame:
     detail's exchange is planned once and reused by its own totals.
     """
     own = (detail.filter(F.col("media_source").isNotNull()).groupBy("fact_date", "media_source")
-           .agg(F.sum("spend").alias("m_spend"), F.sum("installs").alias("m_installs"),
-                F.sum("af_start_trial").alias("m_trials"), F.sum("af_subscribe").alias("m_subs")))
+           .agg(F.sum("spend").alias("own_spend"), F.sum("installs").alias("own_installs"),
+                F.sum("af_start_trial").alias("own_trials"), F.sum("af_subscribe").alias("own_subs")))
     totals = own.join(pull_ms, ["fact_date", "media_source"], "left")
     return detail.join(totals, ["fact_date", "media_source"], "left")
 
@@ -237,10 +237,10 @@ def scaled_breakdown(detail: DataFrame, pull_ms: DataFrame, grain: Grain, model:
     """
     j = scale_join(detail, pull_ms)
     scaled = {
-        out: F.col(out) * scale_factor(F.col("p_" + short), F.col("m_" + short)) for out, short in _SCALED
+        out: F.col(out) * scale_factor(F.col("pull_" + short), F.col("own_" + short)) for out, short in _SCALED
     }
     j = j.select("*", *[v.alias("s_" + k) for k, v in scaled.items()])
-    has_pull = F.col("p_spend").isNotNull()
+    has_pull = F.col("pull_spend").isNotNull()
     return j.select(
         "fact_date", F.lit(tz).alias("timezone"), F.lit(model).alias("attribution_model"),
         *grain.dims,

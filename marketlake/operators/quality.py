@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.constants import PARITY_KEYS, PARITY_VALUES
 from marketlake.functions import nullify_blank
 
 
@@ -60,11 +61,6 @@ def validate_top_campaigns(daily_acq: DataFrame, n: int = 50) -> DataFrame:
 # Export parity
 # ---------------------------------------------------------------------------
 
-PARITY_KEYS = ("fact_date", "source_system", "media_source", "campaign", "adset", "ad")
-PARITY_VALUES = ("installs", "spend", "af_start_trial", "af_subscribe", "af_tutorial_completion",
-                 "rc_trial_converted_event", "arpu_ltv", "currency", "timezone")
-
-
 def _normalised(df: DataFrame, keys: Sequence[str], values: Sequence[str], left: bool) -> DataFrame:
     """Normalised keys ('' / 'None' -> NULL on keys, currency and timezone) and the values as one struct."""
     cols = [nullify_blank(F.col(k).cast("string")).alias(k) if k != "fact_date" else F.col(k) for k in keys]

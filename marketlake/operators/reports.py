@@ -13,8 +13,11 @@ from marketlake.functions import ratio_if_positive, week_label_monday
 ENTITIES = ("media_source", "campaign", "adset", "ad")
 
 
-def _window(df: DataFrame, date_from: _dt.date, date_to: _dt.date) -> DataFrame:
-    return df.filter(F.col("fact_date").between(F.lit(date_from), F.lit(date_to)))
+def _window(df: DataFrame, date_from: _dt.date, date_to: _dt.date, model: str | None = None) -> DataFrame:
+    """Rows of the window; of one attribution model if given. Without a model the rows of both
+    count, so spend that both models carry counts twice."""
+    rows = df.filter(F.col("fact_date").between(F.lit(date_from), F.lit(date_to)))
+    return rows if model is None else rows.filter(F.col("attribution_model") == model)
 
 
 def _totals() -> list[Column]:
@@ -27,23 +30,23 @@ def _cac() -> Column:
     return ratio_if_positive("spend", "af_subscribe").alias("cac")
 
 
-def report_summary(silver: DataFrame, date_from: _dt.date, date_to: _dt.date) -> DataFrame:
+def report_summary(silver: DataFrame, date_from: _dt.date, date_to: _dt.date, attribution_model: str | None = None) -> DataFrame:
     """One row of window totals + cac (NULL sums on an empty window)."""
-    return _window(silver, date_from, date_to).agg(*_totals()).select(
+    return _window(silver, date_from, date_to, attribution_model).agg(*_totals()).select(
         F.lit(date_from).alias("date_from"), F.lit(date_to).alias("date_to"),
         "spend", "af_subscribe", "af_start_trial", "installs", _cac())
 
 
-def report_daily_cac(silver: DataFrame, date_from: _dt.date, date_to: _dt.date) -> DataFrame:
+def report_daily_cac(silver: DataFrame, date_from: _dt.date, date_to: _dt.date, attribution_model: str | None = None) -> DataFrame:
     """Totals + cac per date."""
-    return (_window(silver, date_from, date_to).groupBy("fact_date").agg(*_totals())
+    return (_window(silver, date_from, date_to, attribution_model).groupBy("fact_date").agg(*_totals())
             .select("fact_date", "spend", "af_subscribe", "af_start_trial", "installs", _cac())
             .orderBy("fact_date"))
 
 
-def report_weekly_cac(silver: DataFrame, date_from: _dt.date, date_to: _dt.date) -> DataFrame:
+def report_weekly_cac(silver: DataFrame, date_from: _dt.date, date_to: _dt.date, attribution_model: str | None = None) -> DataFrame:
     """Totals + cac per Monday-week label."""
-    return (_window(silver, date_from, date_to)
+    return (_window(silver, date_from, date_to, attribution_model)
             .groupBy(week_label_monday("fact_date").alias("year_week"))
             .agg(F.min("fact_date").alias("week_start"), F.max("fact_date").alias("week_end"), *_totals())
             .select("year_week", "week_start", "week_end", "spend", "af_subscribe", "af_start_trial",
@@ -52,11 +55,11 @@ def report_weekly_cac(silver: DataFrame, date_from: _dt.date, date_to: _dt.date)
 
 
 def top_entities(silver: DataFrame, date_from: _dt.date, date_to: _dt.date, entity: str,
-                 limit: int = 10) -> DataFrame:
+                 limit: int = 10, attribution_model: str | None = None) -> DataFrame:
     """Top-n entities by subscribes, then spend (entity as final tiebreak)."""
     if entity not in ENTITIES:
         raise ValueError(f"no such entity: {entity!r} (known: {list(ENTITIES)})")
-    g = (_window(silver, date_from, date_to)
+    g = (_window(silver, date_from, date_to, attribution_model)
          .groupBy(F.coalesce(F.col(entity), F.lit(UNKNOWN_ENTITY)).alias("entity"))
          .agg(*_totals()))
     return (g.select("entity", "spend", "af_subscribe", "af_start_trial", "installs", _cac())

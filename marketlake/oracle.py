@@ -197,7 +197,7 @@ def _mcp_day(model: str) -> str:
 def _sides(model: str) -> str:
     """One row a day: both sides as structs (NULL where a side has no such day), and whether Pull wins."""
     return f"""
-SELECT *, coalesce(p.spend, 0) > 0 OR (p IS NOT NULL AND coalesce(m.spend, 0) = 0) AS pull_wins FROM (
+SELECT *, coalesce(p.spend, 0) > 0 OR (p IS NOT NULL AND coalesce(m.spend, 0) = 0) AS takes_pull FROM (
   SELECT fact_date, any_value(day) FILTER (side = 'p') AS p, any_value(day) FILTER (side = 'm') AS m
   FROM (SELECT 'p' AS side, fact_date, {{{each("'@': @", (*_DAY, 'revenue', 'fetched_at'))}}} AS day FROM ({_PULL_DAY})
         UNION ALL
@@ -211,8 +211,8 @@ def _totals(model: str) -> str:
     return f"""
 SELECT *, {per('spend', 'af_subscribe')} AS cac FROM (
   SELECT fact_date, '{LA}' AS timezone, '{model}' AS attribution_model,
-    {each('coalesce(if(pull_wins, p, m).@, 0) AS @', _DAY)}, {revenue}
-    if(pull_wins, '{K.SRC_PULL}', '{src}') AS primary_source, if(pull_wins, 'high', 'medium') AS source_confidence,
+    {each('coalesce(if(takes_pull, p, m).@, 0) AS @', _DAY)}, {revenue}
+    if(takes_pull, '{K.SRC_PULL}', '{src}') AS primary_source, if(takes_pull, 'high', 'medium') AS source_confidence,
     coalesce(p.fetched_at, m.fetched_at) AS fetched_at
   FROM days_{model})"""
 
@@ -235,7 +235,7 @@ SELECT *, {per('spend', 'installs')} AS cost_per_install, {per('spend', 'af_star
     '{K.SRC_PULL}' AS primary_source, 'high' AS source_confidence, max(fetched_at) AS fetched_at
   FROM pull WHERE timezone = '{LA}' GROUP BY ALL)""")
 
-query("source_priority_join", "days_ltv", "SELECT fact_date, p.spend AS p_spend, m.spend AS m_spend, p IS NOT NULL AS pull_present, pull_wins FROM days_ltv")
+query("source_priority_join", "days_ltv", "SELECT fact_date, p.spend AS pull_spend, m.spend AS own_spend, p IS NOT NULL AS pull_present, takes_pull FROM days_ltv")
 query("pull_day", "pull", _PULL_DAY)
 query("mcp_day", "silver", _mcp_day("ltv"))
 
@@ -253,7 +253,7 @@ FROM {rows} WHERE attribution_model = '{model}' GROUP BY ALL"""
 def _shares(detail: str) -> str:
     """Own and Pull totals of each (day, source), folded out of one tagged union."""
     return f"""
-SELECT fact_date, media_source, {each("sum(@) FILTER (own) AS m_@, sum(@) FILTER (NOT own) AS p_@", _SCALED)}
+SELECT fact_date, media_source, {each("sum(@) FILTER (own) AS own_@, sum(@) FILTER (NOT own) AS pull_@", _SCALED)}
 FROM (SELECT true AS own, fact_date, media_source, {', '.join(_SCALED)} FROM {detail}
       UNION ALL
       SELECT false, fact_date, media_source, {each('coalesce(@, 0)', ('cost', 'installs', 'af_start_trial', 'af_subscribe'))} FROM pull WHERE timezone = '{LA}')
@@ -265,10 +265,10 @@ def _scaled(detail: str, dims: str, model: str, label: str) -> str:
 SELECT *, {per('spend', 'installs')} AS cost_per_install, {per('spend', 'af_start_trial')} AS cost_per_trial,
   {per('spend', 'af_subscribe')} AS cost_per_subscriber FROM (
   SELECT fact_date, '{LA}' AS timezone, '{model}' AS attribution_model, {dims},
-    {each('d.@ * coalesce(s.p_@ / nullif(s.m_@, 0), 1) AS @', _SCALED)},
+    {each('d.@ * coalesce(s.pull_@ / nullif(s.own_@, 0), 1) AS @', _SCALED)},
     d.rc_trial_converted_event, d.af_tutorial_completion, d.currency,
-    '{label}' || if(s.p_spend IS NULL, '_raw', '_scaled') AS primary_source,
-    if(s.p_spend IS NULL, 'medium', 'high') AS source_confidence, d.fetched_at
+    '{label}' || if(s.pull_spend IS NULL, '_raw', '_scaled') AS primary_source,
+    if(s.pull_spend IS NULL, 'medium', 'high') AS source_confidence, d.fetched_at
   FROM {detail} d LEFT JOIN shares_{detail} s USING (fact_date, media_source))"""
 
 
@@ -285,7 +285,7 @@ _register("growth_ad_daily", "silver_ad", _ADSET_DIMS, "ltv", K.SRC_MCP_AD)
 _register("activity_ad_daily", "silver_ad", _ADSET_DIMS, "activity", K.SRC_MCP_AD)
 
 query("scale_join", "d_growth_adset_daily shares_d_growth_adset_daily", """
-SELECT fact_date, media_source, campaign, adset, d.spend, m_spend, p_spend, d.installs, m_installs, p_installs
+SELECT fact_date, media_source, campaign, adset, d.spend, own_spend, pull_spend, d.installs, own_installs, pull_installs
 FROM d_growth_adset_daily d LEFT JOIN shares_d_growth_adset_daily USING (fact_date, media_source)""")
 
 view("growth_fact_rows", "pull silver", f"""

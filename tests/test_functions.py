@@ -90,3 +90,26 @@ def test_ratios(spark):
 def test_lookback_bounds():
     assert lookback_bounds(dt.date(2026, 1, 14), 14) == (dt.date(2026, 1, 1), dt.date(2026, 1, 14))
     assert lookback_bounds(dt.date(2026, 1, 14), 1) == (dt.date(2026, 1, 14), dt.date(2026, 1, 14))
+
+
+def test_storage_date_remaps_utc_reports_on_request(spark):
+    from marketlake.functions import storage_date
+
+    df = spark.createDataFrame([("2026-01-15", "UTC"), ("2026-01-15", None), ("2026-01-15", "America/Los_Angeles")], "d string, tz string")
+    plain = [str(r[0]) for r in df.select(storage_date(F.to_date("d"), F.col("tz"), "America/Los_Angeles")).collect()]
+    moved = [str(r[0]) for r in df.select(storage_date(F.to_date("d"), F.col("tz"), "America/Los_Angeles", True)).collect()]
+    assert plain == ["2026-01-15"] * 3 and moved == ["2026-01-14", "2026-01-14", "2026-01-15"]
+
+
+def test_reports_of_one_attribution_model(spark):
+    import datetime as dt
+
+    from marketlake.operators import reports
+
+    rows = [(dt.date(2026, 1, 1), m, "fb", 10.0, 1.0, 1.0, 2.0) for m in ("ltv", "activity")]
+    df = spark.createDataFrame(rows, "fact_date date, attribution_model string, media_source string, spend double, af_subscribe double, af_start_trial double, installs double")
+    span = (dt.date(2026, 1, 1), dt.date(2026, 1, 2))
+    assert reports.report_summary(df, *span).first().spend == 20.0
+    assert reports.report_summary(df, *span, attribution_model="ltv").first().spend == 10.0
+    assert reports.report_daily_cac(df, *span, attribution_model="ltv").first().cac == 10.0
+    assert reports.top_entities(df, *span, "media_source", attribution_model="activity").first().spend == 10.0

@@ -113,10 +113,10 @@ def test_scaled_spend_sums_to_pull(spark):
     m = catalog.Model(spark, "/root/testdata/sf0.001")
     scaled = gold.scaled_daily(m.pull, m.silver, gold.ADSET)
     s = scaled.groupBy("fact_date", "media_source").agg(F.sum("spend").alias("s"))
-    p = gold.pull_media_source_day(m.pull).select("fact_date", "media_source", "p_spend")
+    p = gold.pull_media_source_day(m.pull).select("fact_date", "media_source", "pull_spend")
     own = m.silver.filter("attribution_model = 'ltv'").groupBy("fact_date", "media_source").agg(F.sum("spend").alias("o"))
-    j = s.join(p, ["fact_date", "media_source"]).join(own, ["fact_date", "media_source"]).filter("p_spend > 0 and o > 0")
-    bad = j.filter(F.abs(F.col("s") - F.col("p_spend")) > 1e-6 * F.greatest(F.lit(1.0), F.col("p_spend"))).count()
+    j = s.join(p, ["fact_date", "media_source"]).join(own, ["fact_date", "media_source"]).filter("pull_spend > 0 and o > 0")
+    bad = j.filter(F.abs(F.col("s") - F.col("pull_spend")) > 1e-6 * F.greatest(F.lit(1.0), F.col("pull_spend"))).count()
     assert j.count() > 0 and bad == 0
 
 
