@@ -277,7 +277,9 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int) ->
         F.count(F.lit(1)).alias("copies"), F.min("id").alias("id"), F.first("runs").alias("runs")), "suffix-runs")
     runs = distinct.select("key", "copies", "id", F.explode("runs").alias("r")).select("key", "copies", "id", "r.*")
     met = runs.groupBy("anchor").agg(F.sum("copies").alias("m"), F.min("ctx").alias("c1"), F.max("ctx").alias("c2"))
-    again = materialise(runs.join(met.where("m > 1"), "anchor").withColumn("mixed", F.expr("c1 != c2")).drop("m", "c1", "c2"),
+    # written first: with plain exchanges on both sides AQE splits the runs of a hot anchor
+    met = materialise(met.where("m > 1"), "suffix-anchors")
+    again = materialise(runs.join(met, "anchor").withColumn("mixed", F.expr("c1 != c2")).drop("m", "c1", "c2"),
                         "suffix-candidates")
     plain = again.where(~F.col("mixed")).select("key", F.col("lo").alias("s"), (F.col("lo") + F.col("n") - 1 + length).alias("e"))
 
