@@ -53,4 +53,54 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_topk, op2_decontaminate, op3_secrets, op4_quality, op5_simhash, op6_url_filter, op7_suffix_dedup, op8_pii, op9_packing, op10_sharding)}
-ORACLE_SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(text: str) -> str:
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _topk_sql(every: int = 100, k: int = 10) -> str:
+    return f"""
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor({topk.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % {every} = 0))
+WHERE rank <= {k}"""
+
+
+def _decontaminate_sql(n: int = 10) -> str:
+    return f"""
+WITH items AS (SELECT DISTINCT item_id::VARCHAR AS item, {_words('text')} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+pats AS (SELECT DISTINCT item, least(len(w), {n}) AS n, array_to_string(w[i : i + {n - 1}], ' ') AS pat
+  FROM items, LATERAL (SELECT unnest(range(1, greatest(len(w) - {n - 1}, 1) + 1)) AS i) WHERE len(w) > 0),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_words('text')} AS w FROM documents),
+wins AS (SELECT r, i, n, array_to_string(w[i : i + n - 1], ' ') AS pat
+  FROM docs, (SELECT DISTINCT n FROM pats) ns, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i)),
+hits AS (SELECT r, item, i, n FROM wins JOIN pats USING (n, pat)),
+covered AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)"""
+
+
+def _urls_sql() -> str:
+    rules = sorted(urlfilter.RULES, key=lambda x: -len(x[1] + x[2]))
+    case = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h + p} {v}'" for v, h, p in rules)
+    weight = " + ".join(
+        f"if(regexp_matches(low, '(^|[^a-z0-9]){t}($|[^a-z0-9])'), {w}, 0)" for t, w in urlfilter.WEIGHTS.items())
+    return f"""
+SELECT page_id, host, path, split_part(fit, ' ', 1) AS rule,
+  coalesce(split_part(fit, ' ', 2), if({weight} >= {urlfilter.REJECT}, 'block', 'allow')) AS verdict
+FROM (SELECT *, CASE {case} END AS fit FROM (
+  SELECT page_id, translate(coalesce(url, ''), '{_UPPER}', '{_LOWER}') AS low,
+    translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT *, regexp_extract(coalesce(url, ''), '^.*?://(.*)$', 1, 's') AS rest FROM pages)))"""
+
+
+#: The others have no SQL: models, hashes, a tokenizer or byte-wise matching. tests/llm compares them with brute force.
+ORACLE_SQL: dict[str, str] = {"op1_topk": _topk_sql(), "op2_decontaminate": _decontaminate_sql(), "op6_url_filter": _urls_sql()}
