@@ -184,7 +184,8 @@ def near_duplicates(docs: DataFrame, keep: list[str], id_col: str = "doc_id", te
     member = nodes.join(roots, nodes["fp"] == roots["node"])
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = roots.join(least, "root").select(F.col("node").alias("fp"), "component_id")
-    ids = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    # written first: with plain exchanges on both sides AQE splits the rows of a fingerprint of many copies
+    ids = materialise(nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "simhash-ids")
     return marked.join(ids, "fp").select(
         F.struct(*[F.col("row").getField(c).alias(c) for c in keep]).alias("row"), "fp", "component_id")
 
