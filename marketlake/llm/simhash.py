@@ -13,7 +13,7 @@ verified by the Hamming distance.
 A bucket of many members (copies with small edits share a segment) is not
 expanded into all pairs: beyond ``MAX_BUCKET`` members its rows are indexed
 again by the other segment, cut in two halves of 16 bits, one of which again
-differs by one bit at most; and beyond that the two halves' bytes.
+differs by one bit at most.
 
 Components: fingerprints are nodes; small-star and large-star rounds, each
 written to the shared folder, until nothing changes. Only fingerprints that
@@ -82,11 +82,6 @@ def _keys(value: str, bits: int, place: int, tag: int) -> str:
     return f"concat(array({own}), {wild})"
 
 
-#: Cuts of a level: (bits, place of the lowest bit, what its bucket is refined by).
-LEVELS = {
-    1: ((32, 32), (32, 0)),
-    2: {0: ((16, 16), (16, 0)), 1: ((16, 48), (16, 32))},
-}
 #: Members from which a bucket is indexed again by the other segment.
 MAX_BUCKET = 64
 
@@ -111,7 +106,9 @@ def _pairs(idx: DataFrame, key: list[str]) -> DataFrame:
 
 def links(nodes: DataFrame) -> DataFrame:
     """Pairs (x, y) of distinct fingerprints, at most 3 bits apart."""
-    idx = nodes.select("fp", F.expr(
+    # each row becomes 66: spread them by a number of tasks, not by the bytes of the few columns before
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    idx = nodes.repartition(parts, "fp").select("fp", F.expr(
         f"explode(concat({_keys('fp', 32, 32, 0)}, {_keys('fp', 32, 0, 1)})) as k")).select("fp", "k.*")
     key = ["tag", "pos", "rest"]
     sizes = idx.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
