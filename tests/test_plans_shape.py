@@ -19,3 +19,14 @@ def test_no_cartesian_or_python_and_pruned_scans(spark):
             if "FileScan parquet" in line and "lineitem" in line:
                 cols = line.split("[", 1)[1].split("]", 1)[0].split(",")
                 assert len(cols) < 11, (name, cols)  # never all lineitem columns
+
+
+def test_scaled_views_have_no_window_and_ad_facts_one_fan_out(spark):
+    def plan(name):
+        return catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+    for name in ("growth_adset_daily", "growth_ad_daily", "activity_campaign_daily", "activity_adset_daily", "activity_ad_daily"):
+        assert "Window" not in plan(name), name
+    assert plan("marketing_fact_ad").count("Generate explode") == 2  # the KPIs of an order, the models of an ad day
+    for name in ("growth_daily_totals", "cost_preserving_replace", "export_parity"):
+        assert "RoundRobin" not in plan(name) and "RepartitionByExpression" not in plan(name)
