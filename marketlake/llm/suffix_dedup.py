@@ -20,7 +20,7 @@ contexts of the same anchor gram. That makes the suffix sort distributed:
 
 Copies count once: texts are first grouped by their digest, and a context of
 many texts is one row from there on. An anchor whose distinct contexts exceed a
-block is not gathered: its windows' hashes go out and are counted by Spark.
+block is not gathered: digests of its windows are counted by Spark instead.
 Context hashes are 64 bits within one anchor gram, text digests MD5.
 """
 
@@ -194,55 +194,52 @@ def _ranges(mask: np.ndarray) -> list[list[int]]:
     return edge.reshape(-1, 2).tolist()
 
 
-OUT = "anchor long, ctx long, ranges array<array<int>>, hashes array<binary>"
+SOLVED = "anchor long, ctx long, ranges array<array<int>>"
+OPENED = "anchor long, ctx long, k int, h binary"
 
 
 def _sorter(length: int):
-    schema = pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("ranges", pa.list_(pa.list_(pa.int32()))),
-                        ("hashes", pa.list_(pa.binary()))])
+    """Rows (anchor, ctx, copies, n, bytes) in order of anchor -> ranges of repeated windows."""
+    schema = pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("ranges", pa.list_(pa.list_(pa.int32())))])
 
-    def give(rows) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
-    def solve(rows):
-        """Whole anchors that fit in a block."""
+    def solve(rows) -> pa.RecordBatch:
         masks = repeated([r[4] for r in rows], [r[3] for r in rows], length)
-        return give([(r[0], r[1], [[0, r[3]]] if r[2] > 1 else _ranges(m), None) for r, m in zip(rows, masks)])
-
-    def open_windows(r):
-        """A context of an anchor too large for a block: a digest of each window instead."""
-        digest = lambda w: hashlib.blake2b(w, digest_size=16).digest()
-        return (r[0], r[1], [[0, r[3]]] if r[2] > 1 else [], [digest(r[4][k : k + length]) for k in range(r[3])])
+        out = [(r[0], r[1], [[0, r[3]]] if r[2] > 1 else _ranges(m)) for r, m in zip(rows, masks)]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, group, size, in_group, large, last = [], [], 0, 0, False, None
+        held, size, last = [], 0, None
         for b in batches:
             for r in zip(*[b.column(k).to_pylist() for k in range(5)]):
                 if last is not None and r[:2] == last[:2]:
-                    continue  # a repeated row of the table
-                if last is None or r[0] != last[0]:  # a new anchor: the one before is whole
-                    held += group
-                    size += in_group
-                    group, in_group, large = [], 0, False
-                    if size >= BLOCK // 2:
-                        yield solve(held)
-                        held, size = [], 0
+                    continue  # fetched twice: a repeated row of the table
+                if size >= BLOCK and r[0] != last[0]:  # only between anchors, each of a block at most
+                    yield solve(held)
+                    held, size = [], 0
+                held.append(r)
+                size += len(r[4])
                 last = r
-                if large:
-                    yield give([open_windows(r)])
-                    continue
-                group.append(r)
-                in_group += len(r[4])
-                if in_group > BLOCK:
-                    yield give([open_windows(x) for x in group])
-                    group, in_group, large = [], 0, True
-        held += group
         if held:
             yield solve(held)
 
     return run
 
 
+def _opener(length: int):
+    """Rows (anchor, ctx, copies, n, bytes) -> a digest of each window."""
+    schema = pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("k", pa.int32()), ("h", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for anchor, ctx, _, n, text in zip(*[b.column(k).to_pylist() for k in range(5)]):
+                digests = [hashlib.blake2b(text[k : k + length], digest_size=16).digest() for k in range(n)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([anchor] * n, pa.int64()), pa.array([ctx] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(digests, pa.binary())],
+                    schema=schema)
+
+    return run
+
+
 def _cut():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -284,21 +281,28 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int) ->
     plain = again.where(~F.col("mixed")).select("key", F.col("lo").alias("s"), (F.col("lo") + F.col("n") - 1 + length).alias("e"))
 
     mixed = again.where("mixed")
-    ctx = mixed.groupBy("anchor", "ctx").agg(
-        F.sum("copies").alias("copies"), F.min(F.struct("id", "key", "lo")).alias("ref"), F.first("n").alias("n"))
+    ctx = materialise(mixed.groupBy("anchor", "ctx").agg(
+        F.sum("copies").alias("copies"), F.min(F.struct("id", "key", "lo")).alias("ref"), F.first("n").alias("n")), "suffix-contexts")
+    large = materialise(ctx.groupBy("anchor").agg(F.sum(F.col("n") + length).alias("bytes")).where(F.col("bytes") > BLOCK)
+                        .select("anchor", F.lit(True).alias("large")), "suffix-large")
     small_batches(docs.sparkSession)
-    fetched = ctx.select("anchor", "ctx", "copies", "n", F.col("ref.id").alias("rid"), F.col("ref.key").alias("rkey"), F.col("ref.lo").alias("lo")).join(
-        texts, (F.col("rkey") == F.col("key")) & F.col("rid").eqNullSafe(F.col("id")))
-    bytes_ = fetched.select("anchor", "ctx", "copies", "n", F.expr(f"substring(b, cast(lo as int) + 1, n - 1 + {length})").alias("bytes"))
-    keyed = bytes_.repartition("anchor").sortWithinPartitions("anchor", "ctx")
-    solved = materialise(keyed.mapInArrow(_sorter(length), OUT), "suffix-solved")
-
-    # windows of anchors too large for a block: counted by digest
-    opened = solved.where("hashes is not null").select("anchor", "ctx", F.posexplode("hashes").alias("k", "h"))
+    wanted = ctx.join(large, "anchor", "left").select(
+        "anchor", "ctx", "copies", "n", F.col("large").isNotNull().alias("large"), F.col("ref.id").alias("rid"),
+        F.col("ref.key").alias("rkey"), F.col("ref.lo").alias("lo"))
+    fetched = wanted.join(texts, (F.col("rkey") == F.col("key")) & F.col("rid").eqNullSafe(F.col("id")))
+    bytes_ = materialise(fetched.select(
+        "large", "anchor", "ctx", "copies", "n", F.expr(f"substring(b, cast(lo as int) + 1, n - 1 + {length})").alias("bytes")), "suffix-bytes")
+    cols = ["anchor", "ctx", "copies", "n", "bytes"]
+    keyed = bytes_.where("not large").select(*cols).repartition("anchor").sortWithinPartitions("anchor", "ctx")
+    solved = materialise(keyed.mapInArrow(_sorter(length), SOLVED), "suffix-solved")
+
+    # anchors of more than a block: their windows are told by digest, wherever their contexts lie
+    opened = bytes_.where("large").select(*cols).mapInArrow(_opener(length), OPENED).distinct()
     twice = opened.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     late = opened.join(twice, "h").groupBy("anchor", "ctx").agg(
         F.transform(F.collect_list("k"), lambda k: F.array(k, k + 1)).alias("ranges"))
-    ranges = solved.select("anchor", "ctx", "ranges").where(F.size("ranges") > 0).unionByName(late)
+    many = ctx.join(large, "anchor").where("copies > 1").select("anchor", "ctx", F.array(F.array(F.lit(0), F.col("n"))).alias("ranges"))
+    ranges = solved.where(F.size("ranges") > 0).unionByName(late).unionByName(many)
     found = mixed.join(ranges, ["anchor", "ctx"]).select("key", "lo", F.explode("ranges").alias("r")).select(
         "key", (F.col("lo") + F.col("r")[0]).alias("s"), (F.col("lo") + F.col("r")[1] - 1 + length).alias("e"))
     return plain.union(found).groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
