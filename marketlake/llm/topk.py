@@ -8,8 +8,8 @@ levels form posting segments.
 
 A query takes segments score at a time: all segments whose quantised impact
 reaches a falling threshold, over all dimensions. An accumulator has what a
-vector has scored so far; what it may still gain is bounded by the largest
-impacts of the dimensions where it hasn't been met. Vectors whose upper bound is
+vector has scored so far; what it may still gain is bounded by the sum of the
+largest impacts that each dimension has left. Vectors whose upper bound is
 below the k-th best lower bound are out by proof. When few possible members
 remain, or segments run out, the members are rescored exactly.
 """
@@ -24,7 +24,7 @@ from .common import col
 
 SCALE = 1024
 CANDIDATES, QUERIES = 16384, 512
-LEVELS, ROUNDS = 64, 6
+LEVELS, ROUNDS = 64, 3
 
 
 class Index:
@@ -34,7 +34,7 @@ class Index:
         spread = int(vectors.max() - vectors.min()) if vectors.size else 0
         self.shift = max(0, spread.bit_length() - (LEVELS - 1).bit_length())
         self.levels = vectors >> self.shift
-        self.order = np.argsort(self.levels, axis=0, kind="stable").T.astype(np.int32)  # per dimension, by rising level
+        self.order = np.argsort(self.levels, axis=0, kind="stable").T.copy()  # per dimension, by rising level
         self.sorted = np.take_along_axis(self.levels.T, self.order, axis=1)
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,7 +47,6 @@ class Index:
         low = np.where(up, self.sorted[:, 0], self.sorted[:, -1]) * query * width
         top -= low  # impacts count from the dimension's smallest
         acc = np.zeros(n, np.int64)
-        met = np.zeros(n, np.int32)
         done = np.zeros(dims, np.int64)  # postings taken, from the end that scores most
         step = int(top.max()) // ROUNDS + 1
         out = self.ids == own
@@ -73,13 +72,9 @@ class Index:
                     left[d] = int(levels[at]) * q - base if at < n else 0
                 if len(ids):
                     acc[ids] += vals * q - base
-                    met[ids] += 1
-            # what c unmet dimensions may still add: the c largest of `left`
-            may = np.concatenate([[0], np.cumsum(np.sort(left)[::-1])])
-            unmet = np.count_nonzero(query) - met[members]
             best = acc[members]
             bound = np.partition(best, len(best) - k)[len(best) - k] if len(best) > k else best.min(initial=0)
-            members = members[best + may[unmet] + slack >= bound]
+            members = members[best + int(left.sum()) + slack >= bound]
         scores = self.vectors[members] @ query
         pick = np.lexsort((self.ids[members], -scores))[:k]
         return self.ids[members[pick]], scores[pick]
