@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketlake.llm import decontaminate as decontaminate_op, packing, pii, quality, simhash as simhash_op
-from marketlake.llm.common import materialise, table
+from marketlake.llm.common import col, materialise, table
 
 
 def _rows(df: DataFrame, columns: list[str], **replaced) -> DataFrame:
@@ -27,15 +27,18 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-duplicates: the one with the smallest doc_id.
+    """One document of each group of SimHash near-duplicates: the smallest doc_id, of equal ones the first row.
 
-    Documents with a null doc_id all stay (no representative can be told from
-    them); of rows that repeat the kept doc_id one stays.
+    Groups are those of the rows' texts, whatever their ids: rows of one doc_id
+    with unlike texts each count in their own group. A null doc_id comes after all
+    others, so it stays only where its group has no id.
     """
-    marked = simhash_op.near_duplicates(docs.select("doc_id", "text"), ["doc_id"])
-    keep = marked.select(F.col("component_id").alias("k")).where("k is not null").distinct()
-    first = docs.join(keep, docs["doc_id"] == keep["k"], "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.where("doc_id is null"))
+    rows = materialise(docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"),
+                                   F.monotonically_increasing_id().alias("n")), "near-dedup-rows")
+    marked = simhash_op.near_duplicates(rows.select("row.doc_id", "row.text", "n"), ["doc_id", "n"])
+    order = F.struct(F.col("row.doc_id").isNull().alias("no_id"), F.col("row.doc_id").alias("doc_id"), F.col("row.n").alias("n"))
+    first = marked.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.n").alias("n"))
+    return _rows(rows.join(first, "n", "left_semi"), docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -168,11 +168,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Struct ``row`` of the kept columns, ``fp`` and ``component_id`` for every document.
+    """Struct ``row`` of the kept columns, ``fp``, ``component_id`` and ``root`` for every document.
 
     Null and empty texts, and those of white space only, have the fingerprint
     zero and link like any other. Repeated rows stay, in one component. A null
     id takes no part in the minimum; a component of null ids only has a null id.
+    ``root`` is the smallest fingerprint of the component: never null, and unlike
+    ``component_id`` never shared by two components that hold rows of one id.
     """
     cols = list(dict.fromkeys([*keep, id_col]))
     marked = materialise(fingerprints(docs, cols, text_col), "simhash-fp")
@@ -180,11 +182,12 @@ def near_duplicates(docs: DataFrame, keep: list[str], id_col: str = "doc_id", te
     roots = components(links(nodes.select("fp")))
     member = nodes.join(roots, nodes["fp"] == roots["node"])
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = roots.join(least, "root").select(F.col("node").alias("fp"), "component_id")
+    linked = roots.join(least, "root").select(F.col("node").alias("fp"), "component_id", "root")
     # written first: with plain exchanges on both sides AQE splits the rows of a fingerprint of many copies
-    ids = materialise(nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "simhash-ids")
+    ids = materialise(nodes.join(linked, "fp", "left").select(
+        "fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "fp").alias("root")), "simhash-ids")
     return marked.join(ids, "fp").select(
-        F.struct(*[F.col("row").getField(c).alias(c) for c in keep]).alias("row"), "fp", "component_id")
+        F.struct(*[F.col("row").getField(c).alias(c) for c in keep]).alias("row"), "fp", "component_id", "root")
 
 
 def digest(found: DataFrame) -> DataFrame:

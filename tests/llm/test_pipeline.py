@@ -78,3 +78,13 @@ def test_edge_rows(spark):
     redacted = [r.text for r in step(spark, "pii", docs).where("doc_id = 4").collect()]
     assert redacted == ["mail <EMAIL> now"] * 2
     assert pii.KINDS[0] == "email"
+
+
+def test_near_dedup_keeps_one_row_of_each_component(spark):
+    def words(k):
+        return " ".join(f"w{k}x{i}" for i in range(60))
+    # doc_id 7 stands on two texts: A, which has a smaller id too, and B; C has null ids only; D an id and a null id
+    a, b, c, d = (words(k) for k in "abcd")
+    docs = spark.createDataFrame([(7, a), (7, b), (3, a), (None, c), (None, c), (None, d), (9, d), (7, b)], "doc_id long, text string")
+    got = Counter((r.doc_id, r.text) for r in step(spark, "simhash_near_dedup", docs).collect())
+    assert got == {(3, a): 1, (7, b): 1, (None, c): 1, (9, d): 1}
