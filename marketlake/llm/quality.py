@@ -7,7 +7,9 @@ rows, a linear layer and a softmax give the two classes. Numpy stochastic
 gradient descent, one document a step, with a falling rate.
 
 Training takes at most ``MAX_TRAIN`` labelled documents, those with the smallest
-hash of their id: a bounded, documented sample, fitted on the driver. Scoring
+hash of their id, one row of each: a bounded, documented sample, fitted on the
+driver. Their texts hold at most ``MAX_TRAIN_BYTES``: in the order of the hash, a
+text that would exceed the sum is passed over, and later ones may fit. Scoring
 covers every row in one narrow pass: the matrix and the layer fold into one
 number a bucket (the difference of the class scores), a megabyte to broadcast.
 """
@@ -18,13 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import col, map_texts
+from .common import col, map_texts, materialise
 
 BUCKETS = 1 << 17
 DIM = 8
 EPOCHS = 6
 RATE = 0.8
 MAX_TRAIN = 2000
+MAX_TRAIN_BYTES = 32 << 20
 THRESHOLD = 0.7
 #: Bytes that are hashed at a time; longer texts are cut at white space near this size.
 CHUNK = 1 << 20
@@ -149,13 +152,26 @@ def held_out(id_col):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-        max_train: int = MAX_TRAIN) -> tuple[np.ndarray, float]:
-    """Model from labelled documents that are not held out, at most ``max_train`` of them."""
+        max_train: int = MAX_TRAIN, max_bytes: int = MAX_TRAIN_BYTES) -> tuple[np.ndarray, float]:
+    """Model from labelled documents that are not held out: at most ``max_train``, with ``max_bytes`` of text.
+
+    Of the rows of a repeated id the smallest text that is not null counts.
+    """
     known = labels.where(col(label_col).isin(0, 1) & col(id_col).isNotNull() & ~held_out(col(id_col)))
     known = known.groupBy(col(id_col).alias("id")).agg(F.min(col(label_col)).alias("y"))
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(max_train)
     texts = docs.select(col(id_col).alias("id"), col(text_col).cast("binary").alias("b"))
-    got = texts.join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "id", "b").limit(max_train).collect()
+    one = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("b").alias("b"), F.min("y").alias("y"))
+    one = materialise(one, "quality-sample")
+    order = F.xxhash64("id"), F.col("id")
+    fit_in, total, over = [], 0, False
+    for r in one.orderBy(*order).select("id", F.coalesce(F.octet_length("b"), F.lit(0)).alias("n")).collect():
+        if total + r.n <= max_bytes:
+            total += r.n
+            fit_in.append(r.id)
+        else:
+            over = True
+    got = (one.where(F.col("id").isin(fit_in)) if over else one).orderBy(*order).collect()
     return train([r.b if r.b is None else bytes(r.b) for r in got], [int(r.y) for r in got])
 
 

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from marketlake.llm import decontaminate, packing, pii, quality, queries, secrets_scan, sharding, simhash, suffix_dedup, topk, urlfilter
 
@@ -160,6 +160,21 @@ def test_quality(spark, edges, empty):
     assert quality.score(empty, labels, ["doc_id"]).count() == 0
 
 
+def test_quality_sample_is_of_documents(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda texts, y: seen.append(dict(zip(texts, y, strict=True))))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2][:10]
+    rows = [(i, f"{k} text {i}") for i in ids for k in "ba" for _ in range(15)] + [(ids[0], "a" * 500), (ids[1], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    quality.fit(docs, labels, max_train=12)
+    assert seen[0] == {f"a text {i}".encode(): i % 2 for i in ids}
+    # a long text is passed over, not the ids after it
+    long = docs.where(F.col("doc_id") != ids[3]).union(spark.createDataFrame([(ids[3], "z" * 500)], docs.schema))
+    quality.fit(long, labels, max_bytes=400)
+    assert seen[1] == {f"a text {i}".encode(): i % 2 for i in ids if i != ids[3]}
+
+
 def test_quality_long_text_in_chunks(monkeypatch):
     text = b" ".join(b"w%d" % (i % 50) for i in range(4000))
     whole = quality.text_features(text)
