@@ -45,13 +45,15 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_TABLE).split()
 
 
-def item_windows(items: list[tuple[str, bytes | None]], n_words: int) -> dict[str, list[str]]:
-    """Pattern (bytes as Latin-1 characters, a space on both sides) -> items that have it."""
+def item_windows(items: list[tuple[str | None, bytes | None]], n_words: int) -> dict[str, list[str]]:
+    """Pattern (bytes as Latin-1 characters, a space on both sides) -> items that have it; a null id gives no name."""
     found: dict[str, set[str]] = defaultdict(set)
     for item, text in items:
         w = words_of(text)
         for i in range(max(1, len(w) - n_words + 1) if w else 0):
-            found[(b" " + b" ".join(w[i : i + n_words]) + b" ").decode("latin-1")].add(item)
+            names = found[(b" " + b" ".join(w[i : i + n_words]) + b" ").decode("latin-1")]
+            if item is not None:
+                names.add(item)
     return {k: sorted(v) for k, v in found.items()}
 
 
@@ -102,9 +104,9 @@ def scanner(patterns: dict[str, list[str]]):
     return scan
 
 
-def _shards(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int) -> list[list[tuple[str, bytes | None]]]:
+def _shards(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int) -> list[list[tuple[str | None, bytes | None]]]:
     """Items in shards of at most ``max_bytes`` of text (a longer item is a shard of its own)."""
-    items = benchmark.where(col(text_col).isNotNull() & col(item_col).isNotNull()).select(
+    items = benchmark.where(col(text_col).isNotNull()).select(
         col(item_col).cast("string").alias("i"), col(text_col).cast("binary").alias("b")).dropDuplicates()
     total = items.agg(F.sum(F.octet_length("b"))).first()[0] or 0
     n = max(1, -(-total // (max_bytes // 2)))
@@ -131,7 +133,8 @@ def decontaminate(
     ``spans`` are code-point ranges of the original text, ``word_runs`` ranges
     of word indexes; both are merged. Null and empty texts have no words and no
     hits; repeated rows come out repeated; an empty benchmark hits nothing;
-    items with a null id or text take no part, repeated items count once.
+    items with a null text take no part, repeated items count once. The windows of
+    an item with a null id count as hits, but it has no name in ``items``.
     """
     shards = _shards(benchmark, item_col, item_text_col, max_shard_bytes)
     patterns = item_windows(shards[0], n_words)

@@ -110,6 +110,14 @@ def test_decontaminate_edges(spark, edges, limit):
     assert spans[4] == [[0, 14]]
 
 
+@pytest.mark.parametrize("limit", [32 << 20, 4])
+def test_decontaminate_items_without_id(spark, edges, limit):
+    bench = spark.createDataFrame([(None, "two\u00e9 three"), (3, "token token"), (None, None)], "item_id long, text string")
+    found = decontaminate.digest(decontaminate.decontaminate(edges, bench, ["doc_id"], max_shard_bytes=limit)).collect()
+    got = Counter((r.doc_id, r.n_hit, r.n_items, r.items_sha256) for r in found if r.contaminated)
+    assert got == {(4, 2, 0, hashlib.sha256(b"").hexdigest()): 2, (9, 2, 1, hashlib.sha256(b"3").hexdigest()): 1}
+
+
 # ---- secrets
 
 BASE_SECRETS = (
