@@ -144,7 +144,7 @@ def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
         'start', x.start, 'end', x.start + length(x.m), 'kind', x.kind, 'ok', coalesce({_valid()}, false),
         'm', x.m, 'before', substring(t, greatest(x.start - 39, 1), least(x.start, 40))))"""
     df = df.select("row", F.expr(said).alias("all"))
-    votes = f"""transform(filter(all, x -> x.kind >= {len(BASE)} or x.ok or length(x.m) >= 7), x -> named_struct(
+    votes = f"""transform(all, x -> named_struct(
         'start', x.start, 'end', x.end, 'kind', x.kind, 'ok', x.ok,
         'votes', named_struct('form', if(x.ok, 1, 0), 'gazetteer', {_gazetteer()}, 'context', {_context().replace('before', 'x.before')}),
         'features', array(

@@ -328,6 +328,13 @@ def test_pii_random(spark):
         assert got[i] == hashlib.sha256(said(base_spans(BASE_PII, t)).encode()).hexdigest(), t
 
 
+def test_pii_short_invalid_matches_vote(spark):
+    docs = spark.createDataFrame([(1, "in 2020, page 12: 1.2.3.4 or 1.2.3.999, +1 23")], "doc_id long, text string")
+    cands = pii.candidates(docs, ["doc_id"]).first().cands
+    got = Counter((pii.KINDS[c.kind], c.ok, c.votes.form) for c in cands)
+    assert got == {("ip", True, 1): 1, ("ip", False, 0): 1, ("phone", False, 0): 1, ("card", False, 0): 4}
+
+
 def test_pii_method_adds_spans(spark):
     rows = [(i, f"Please call Mr Smith, name Alice Brown{i}. ssn 123-45-678{i % 10} mail a{i}@b.com version 1-2-3 phone +1 (555) 123-45{i % 10}7")
             for i in range(50)] + [(99, "Plain text in March 2020, nothing here: 12-34.")]
