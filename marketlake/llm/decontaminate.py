@@ -11,8 +11,10 @@ number of spaces before it is the index of its first word, and the word's
 place in the original text comes from the same word pattern there.
 
 Scale: the pass over documents is narrow. The automaton goes to the tasks in
-shards of at most ``max_shard_bytes`` of item text, so what is broadcast has a
-fixed bound; more test items mean more shards, each one pass, merged by row.
+shards of at most ``max_shard_bytes`` of window text (about eleven times the
+items' own), so what is collected, broadcast and built has a fixed bound; more
+test items mean more shards. One shard at a time is collected and sent, its hits
+are written, and it is dropped before the next; the hits are merged by row.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections import defaultdict
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .common import col, map_texts, materialise
 
@@ -32,6 +34,9 @@ _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
 
+#: Window text of a shard. Its automaton takes some dozens of bytes a byte in each Python worker.
+MAX_SHARD_BYTES = 8 << 20
+
 HITS = T.StructType([
     T.StructField("n_words", T.LongType()),
     T.StructField("n_hit", T.LongType()),
@@ -104,18 +109,27 @@ def scanner(patterns: dict[str, list[str]]):
     return scan
 
 
-def _shards(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int) -> list[list[tuple[str | None, bytes | None]]]:
-    """Items in shards of at most ``max_bytes`` of text (a longer item is a shard of its own)."""
+def _shards(benchmark: DataFrame, item_col: str, text_col: str, n_words: int, max_bytes: int) -> list[DataFrame]:
+    """Items (i, b) in shards of at most ``max_bytes`` of window text.
+
+    An item of over half of that is not cut: its shard is at most half of it more
+    than the item. Only the numbers of the shards reach the driver.
+    """
+    # every word begins one window at most, and a byte with its space is in n_words windows and one space before each
+    window_bytes = ((F.octet_length("b") + 1) * F.lit(n_words + 1)).cast("long")
     items = benchmark.where(col(text_col).isNotNull()).select(
         col(item_col).cast("string").alias("i"), col(text_col).cast("binary").alias("b")).dropDuplicates()
-    total = items.agg(F.sum(F.octet_length("b"))).first()[0] or 0
-    n = max(1, -(-total // (max_bytes // 2)))
-    shards = []
-    for k in range(n):
-        rows = items.where(F.pmod(F.xxhash64("i", "b"), F.lit(n)) == k) if n > 1 else items
-        if rows.agg(F.sum(F.octet_length("b"))).first()[0] or 0:
-            shards.append([(r.i, bytes(r.b)) for r in rows.collect()])
-    return shards or [[]]
+    total = items.agg(F.sum(window_bytes)).first()[0] or 0
+    if total <= max_bytes:
+        return [items]
+    half = max(1, max_bytes // 2)
+    # a hash deals the items, the running sum inside a part cuts it where the hash dealt unevenly
+    part = F.pmod(F.xxhash64("i", "b"), F.lit(-(-total // half)))
+    before = Window.partitionBy("part").orderBy("i", "b").rowsBetween(Window.unboundedPreceding, 0)
+    items = items.withColumn("part", part).withColumn("size", window_bytes)
+    items = materialise(items.withColumn("cut", F.floor((F.sum("size").over(before) - 1) / F.lit(half))), "decontaminate-items")
+    numbers = items.select("part", "cut").distinct().orderBy("part", "cut").collect()
+    return [items.where((F.col("part") == r.part) & (F.col("cut") == r.cut)).select("i", "b") for r in numbers]
 
 
 def decontaminate(
@@ -126,7 +140,7 @@ def decontaminate(
     item_col: str = "item_id",
     item_text_col: str = "text",
     n_words: int = 10,
-    max_shard_bytes: int = 32 << 20,
+    max_shard_bytes: int = MAX_SHARD_BYTES,
 ) -> DataFrame:
     """Struct ``row`` of the kept columns and struct ``res`` (``HITS``) for every document.
 
@@ -136,19 +150,24 @@ def decontaminate(
     items with a null text take no part, repeated items count once. The windows of
     an item with a null id count as hits, but it has no name in ``items``.
     """
-    shards = _shards(benchmark, item_col, item_text_col, max_shard_bytes)
-    patterns = item_windows(shards[0], n_words)
+    def send(shard: DataFrame):
+        return docs.sparkSession.sparkContext.broadcast(item_windows([(r.i, bytes(r.b)) for r in shard.collect()], n_words))
+
+    shards = _shards(benchmark, item_col, item_text_col, n_words, max_shard_bytes)
     if len(shards) == 1:
-        sent = docs.sparkSession.sparkContext.broadcast(patterns)
+        sent = send(shards[0])
         return map_texts(docs, text_col, keep, lambda: scanner(sent.value), HITS)
     # Beyond one shard: number the rows once, scan them per shard, merge the hits of a row.
     base = materialise(docs.select(
         F.struct(*[col(c) for c in keep]).alias("row"), col(text_col).cast("binary").alias("b"),
         F.monotonically_increasing_id().alias("n")), "decontaminate-rows")
     hits = None
-    for items in shards:
-        sent = docs.sparkSession.sparkContext.broadcast(item_windows(items, n_words))
+    for shard in shards:
+        sent = send(shard)
         one = map_texts(base, "b", ["n"], lambda sent=sent: scanner(sent.value), HITS).select("row.n", "res")
+        # written: the shard is needed no more; the first one's rows give the word counts of all documents
+        one = materialise(one if hits is None else one.where("res.n_hit > 0"), "decontaminate-hits")
+        sent.destroy()
         hits = one if hits is None else hits.unionByName(one)
     runs = F.array_sort(F.flatten(F.collect_list("res.word_runs")))
     merged = hits.groupBy("n").agg(

@@ -118,6 +118,30 @@ def test_decontaminate_items_without_id(spark, edges, limit):
     assert got == {(4, 2, 0, hashlib.sha256(b"").hexdigest()): 2, (9, 2, 1, hashlib.sha256(b"3").hexdigest()): 1}
 
 
+def test_decontaminate_shards_are_bounded_by_windows(spark, edges, monkeypatch):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(40)] + [(99, "two\u00e9 three"), (None, "token token")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    built, alive = [], []
+    windows = decontaminate.item_windows
+    monkeypatch.setattr(decontaminate, "item_windows", lambda rows, n: built.append(windows(rows, n)) or built[-1])
+    sc = type(spark.sparkContext)
+    broadcast = sc.broadcast
+
+    def counted(self, value):
+        sent = broadcast(self, value)
+        alive.append(sent)
+        monkeypatch.setattr(sent, "destroy", lambda *a, f=sent.destroy: (alive.remove(sent), f(*a)))
+        assert len(alive) == 1
+        return sent
+
+    monkeypatch.setattr(sc, "broadcast", counted)
+    limit = 12_000
+    found = decontaminate.digest(decontaminate.decontaminate(edges, bench, ["doc_id"], max_shard_bytes=limit)).collect()
+    assert not alive and len(built) > 3 and all(sum(map(len, p)) <= limit for p in built)
+    assert {k for p in built for k in p} == set(windows([(i, t.encode()) for i, t in items], 10))
+    assert len(found) == len(EDGES) and {(r.doc_id, r.n_hit, r.n_items) for r in found if r.contaminated} == {(4, 2, 1), (9, 2, 0)}
+
+
 # ---- secrets
 
 BASE_SECRETS = (
