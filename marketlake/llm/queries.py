@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, packing, pii, quality, secrets_scan, sharding, simhash, suffix_dedup, topk, urlfilter
+from . import (
+    conversations, decontaminate, packing, pii, quality, secrets_scan, sharding, simhash, suffix_dedup, topk, urlfilter, warc, whitening,
+)
 from .common import table
 
 
@@ -51,8 +53,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc.digest(warc.read(warc.write(pages)), pages.schema["page_id"].dataType)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.digest(conversations.repair(rows, present_col="present"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(whitening.whiten(table(spark, sf_dir, "embeddings"), ["vec_id"]))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_topk, op2_decontaminate, op3_secrets, op4_quality, op5_simhash, op6_url_filter, op7_suffix_dedup, op8_pii, op9_packing, op10_sharding)}
+    op1_topk, op2_decontaminate, op3_secrets, op4_quality, op5_simhash, op6_url_filter, op7_suffix_dedup, op8_pii, op9_packing, op10_sharding,
+    op11_warc, op12_conversation_repair, op13_whitening)}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
