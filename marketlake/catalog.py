@@ -596,6 +596,7 @@ def _list_files(spark, root: str, suffix: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(path) if st.getPath().getName().endswith(suffix))
 
 
+LONG_RESPONSE, PIECE_LINES = 20_000, 40  # characters of a response beyond which it is cut, lines of a piece
 PAD_COLUMNS = 70  # text columns before the metrics: responses are wide
 
 
@@ -618,12 +619,12 @@ def _responses(mcp):
 
 @query("mcp_response_scan")
 def q_mcp_response_scan(spark, sf_dir):
-    return mcp_text.mcp_response_scan(_responses(Inputs(spark, sf_dir).mcp)).drop("raw_row_json", "raw_metadata_json")
+    return mcp_text.mcp_response_scan(_responses(Inputs(spark, sf_dir).mcp), long=LONG_RESPONSE, piece_lines=PIECE_LINES).drop("raw_row_json", "raw_metadata_json")
 
 
 @query("metric_column_identify")
 def q_metric_column_identify(spark, sf_dir):
-    out = mcp_text.mcp_response_scan(_responses(Inputs(spark, sf_dir).mcp))
+    out = mcp_text.mcp_response_scan(_responses(Inputs(spark, sf_dir).mcp), long=LONG_RESPONSE, piece_lines=PIECE_LINES)
     return out.groupBy("kpi_name", "metric_column").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("metric_value").alias("metric_value"),
         F.sum("installs").alias("installs"), F.sum("cost").alias("cost"))

@@ -1,9 +1,10 @@
 """Pull report CSV scan (S4) with header mapping (P3), dim normalisation (P4) and
 lenient numbers (P5).
 
-Files are grouped by their header line (read once per file, first line only); each
-group is one multi-file ``read.csv(header=True)`` whose columns are renamed by a
-plan computed on the driver from the header names (metadata, not data).
+Files are grouped by their header line (read once per file); each group is cut into
+records over as many tasks as it has splits (``quoted_text``: quotes may hold line
+ends), the records are read by ``from_csv``, and their columns renamed by a plan
+computed on the driver from the header names (metadata, not data).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from marketlake import constants as K
 from marketlake.functions import dim_normalize, lenient_float_pull, parse_date, py_strip
+from marketlake.sources.quoted_text import ends_inside, file_records
 
 PULL_FIELDS = ("fact_date", "media_source", "campaign", "adset", "ad", *K.PULL_METRICS)
 
@@ -59,12 +61,29 @@ def header_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     block is its first line. What reaches the driver is metadata: a path and a header
     for each file. Spark reports paths URI-encoded; readers want them plain.
     """
-    lines = (spark.read.text(list(paths))
+    lines = (spark.read.option("lineSep", "\n").text(list(paths))
              .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
                      F.col("value"), F.monotonically_increasing_id().alias("i"))
              .filter(F.col("b") == 0))
     first = lines.groupBy("f").agg(F.min_by("value", "i").alias("header"))
-    return {unquote(r.f): r.header for r in first.collect()}
+    return {unquote(r.f): r.header.removeprefix("\ufeff").removesuffix("\r") for r in first.collect()}
+
+
+def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """The header record of every file: its first line, or more if a name holds a line end."""
+    lines = header_lines(spark, paths)
+    open_ = [p for p, line in lines.items() if ends_inside(line, False)]
+    if open_:
+        rows = file_records(spark, open_).where("first").select("file", "record").collect()
+        lines |= {unquote(r.file): r.record.removeprefix("\ufeff") for r in rows}
+    return lines
+
+
+def _csv_rows(spark: SparkSession, paths: Sequence[str], n: int) -> DataFrame:
+    """The records below the header, as ``n`` text columns."""
+    ddl = ", ".join(f"_c{i} string" for i in range(n))
+    records = file_records(spark, paths).where(~F.col("first"))
+    return records.select(F.from_csv("record", ddl, {"escape": '"', "mode": "PERMISSIVE"}).alias("r")).select("r.*")
 
 
 def normalize_pull_rows(df: DataFrame, headers: Sequence[str], report_segment: str,
@@ -99,20 +118,24 @@ def pull_csv_scan(spark: SparkSession, paths: Sequence[str], report_segment: str
                   conversion_type: bool = False) -> DataFrame:
     """Header CSV files -> canonical Pull rows; rows without a readable date are dropped.
 
-    Quoted fields may hold commas, doubled quotes and line ends, so a file is read by
-    one task (the vendor sends a file a day); many files spread over the cluster.
+    Quoted fields may hold commas, doubled quotes and line ends. A file is read by as
+    many tasks as it has splits. Files whose lines end in a lone carriage return are
+    left to Spark's reader, one task each.
     """
     fetched_at = fetched_at or _dt.datetime.now(_dt.timezone.utc).isoformat()
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for p, line in header_lines(spark, paths).items():
-        if not line or not line.strip():
+    groups: dict[tuple[bool, tuple[str, ...]], list[str]] = {}
+    for p, line in _headers(spark, paths).items():
+        if not line.strip():
             continue
-        headers = tuple(next(csv.reader([line])))
-        groups.setdefault(headers, []).append(p)
+        names = list(csv.reader([line] if "\n" in line else line.split("\r")))
+        groups.setdefault((len(names) > 1, tuple(names[0])), []).append(p)
     out: DataFrame | None = None
-    for headers, ps in groups.items():
-        df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE")
-              .option("enforceSchema", False).csv(ps))
+    for (old_lines, headers), ps in groups.items():
+        if old_lines:
+            df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE")
+                  .option("enforceSchema", False).csv(ps))
+        else:
+            df = _csv_rows(spark, ps, len(headers))
         part = normalize_pull_rows(df, headers, report_segment, tz, fetched_at, conversion_type)
         out = part if out is None else out.unionByName(part)
     if out is None:
