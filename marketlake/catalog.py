@@ -517,9 +517,42 @@ def land_raw(spark, sf_dir) -> str:
     return root
 
 
+DOCUMENT_ROWS = 200  # rows of a landed document at most
+LARGE_BODY = 8_000  # bytes beyond which the scan cuts a document
+
+
+def land_documents(spark, sf_dir) -> tuple[str, str]:
+    """Land both raw reports in all their bodies: folders of documents and of line-delimited files.
+
+    Every third day of a month lies in line-delimited files; of the others, odd ones as JSON lists and
+    even ones as ``{"rows": [...]}``, a file for at most ``DOCUMENT_ROWS`` rows."""
+    rows = _raw_rows(Inputs(spark, sf_dir)).withColumn("dt", F.date_format("_extract_date", "yyyy-MM-dd"))
+    day = F.dayofmonth("_extract_date")
+    lines, documents = _scratch(spark, "landing"), _scratch(spark, "documents")
+    (rows.where(day % 3 == 0).select("report_name", "dt", F.col("_payload").alias("value")).hint("rebalance", "report_name", "dt")
+     .write.partitionBy("report_name", "dt").text(lines))
+    # neighbours of a task share a document: its size is bounded whatever a day's rows are
+    part = F.floor(F.monotonically_increasing_id() / DOCUMENT_ROWS)
+    listed = F.concat(F.lit("["), F.array_join(F.collect_list("_payload"), ",\n"), F.lit("]"))
+    body = (rows.where(day % 3 != 0).hint("rebalance", "report_name", "dt").withColumn("part", part)
+            .groupBy("report_name", "dt", "part").agg(listed.alias("value"), F.first(day % 2 == 1).alias("odd")))
+    (body.select("report_name", "dt", F.when(F.col("odd"), F.col("value")).otherwise(
+        F.concat(F.lit('{"meta": {"rows": [0]}, "rows": '), "value", F.lit("}"))).alias("value"))
+     .write.option("maxRecordsPerFile", 1).partitionBy("report_name", "dt").text(documents))
+    return lines, documents
+
+
+_LANDED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
 def _scan_landing(spark, sf_dir):
-    root = land_raw(spark, sf_dir)
-    return raw_json.raw_report_scan(spark, f"{root}/*/dt=*/*.txt", body="lines")
+    """Scan of all bodies; the queries of one session share a landing (thousands of folders, a file each)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        _LANDED[key] = land_documents(spark, sf_dir)
+    lines, documents = _LANDED[key]
+    return raw_json.raw_report_scan(spark, f"{lines}/*/dt=*/*.txt", body="lines").unionByName(
+        raw_json.raw_report_scan(spark, f"{documents}/*/dt=*/*.txt", body="document", large_body=LARGE_BODY))
 
 
 @query("raw_report_scan")
