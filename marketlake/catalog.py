@@ -261,6 +261,15 @@ def q_validate_null_rates(spark, sf_dir):
     return quality.validate_null_rates(Warehouse(spark, sf_dir).daily)
 
 
+@query("null_rate_spikes")
+def q_null_rate_spikes(spark, sf_dir):
+    daily = Warehouse(spark, sf_dir).daily
+    # on every 45th day a part of the rows comes without campaign and country, as after a broken feed
+    broken = (F.unix_date("report_date") % 45 == 0) & (F.length("media_source") > 0) & F.col("app_key").isNotNull()
+    feed = daily.select("report_date", "media_source", *[F.when(~F.coalesce(broken, F.lit(False)), F.col(c)).alias(c) for c in ("campaign", "country")])
+    return quality.null_rate_spikes(quality.validate_null_rates(feed))
+
+
 @query("validate_top_campaigns")
 def q_validate_top_campaigns(spark, sf_dir):
     return quality.validate_top_campaigns(Warehouse(spark, sf_dir).daily)
@@ -433,6 +442,20 @@ def q_export_parity_samples(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("export_parity_tree")
+def q_export_parity_tree(spark, sf_dir):
+    """Both sides lie in files sorted by date, so the filter on unequal dates skips row groups."""
+    s = Model(spark, sf_dir).silver
+
+    def stored(df, name):
+        path = _scratch(spark, name)
+        df.repartitionByRange("fact_date").sortWithinPartitions("fact_date").write.parquet(path)
+        return spark.read.parquet(path)
+
+    left = stored(s, "parity-left")
+    return quality.export_parity_tree(left, stored(_parity_right(left), "parity-right"), keys=PARITY_KEYS_MODEL)
+
+
 @query("export_parity")
 def q_export_parity(spark, sf_dir):
     s = Model(spark, sf_dir).silver

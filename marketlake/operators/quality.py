@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.constants import PARITY_KEYS, PARITY_VALUES
@@ -37,6 +37,43 @@ def validate_null_rates(df: DataFrame, date_col: str = "report_date",
     )
 
 
+def null_rate_spikes(rates: DataFrame, date_col: str = "report_date", cols: Sequence[str] = ("campaign", "media_source", "country"),
+                     days: int = 28, least_days: int = 7, width: float = 3.0, floor: float = 0.05) -> DataFrame:
+    """Q3 decision: is a day's NULL rate a spike against the ``days`` calendar days before it?
+
+    ``rates`` has a row a day (``validate_null_rates``). Usual is the median of the earlier
+    days' rates, spread their median absolute deviation (times 1.4826: a standard deviation
+    where rates are normal). A spike lies above usual by more than ``width`` spreads and more
+    than ``floor``. Earlier spikes don't move the median, so a second bad day is still found.
+    With fewer than ``least_days`` earlier days nothing is decided (NULL). A row for each
+    day and column; days without a date drop out.
+    """
+    long = rates.where(F.col(date_col).isNotNull()).select(
+        date_col, "row_count", F.explode(F.array(*[
+            F.struct(F.lit(c).alias("field"), F.col(f"{c}_null_rate").alias("null_rate")) for c in cols])).alias("f")).select(
+        date_col, "row_count", "f.*")
+    # one window a column over a row a day
+    before = Window.partitionBy("field").orderBy(F.unix_date(date_col)).rangeBetween(-days, -1)
+    seen = long.withColumn("_past", F.collect_list("null_rate").over(before))
+    usual = _median(F.col("_past"))
+    told = seen.withColumn("days_before", F.size("_past")).withColumn("usual", usual)
+    told = told.withColumn("spread", _median(F.transform("_past", lambda x: F.abs(x - F.col("usual")))))
+    bound = F.col("usual") + F.greatest(F.lit(width * 1.4826) * F.col("spread"), F.lit(floor))
+    return told.select(date_col, "field", "row_count", "null_rate", "days_before", "usual", "spread",
+                       F.when(F.col("days_before") >= least_days, F.col("null_rate") > bound).alias("spike"))
+
+
+def _median(values: Column) -> Column:
+    """Median of an array without NULLs; NULL if it is empty."""
+    n = F.size(values)
+    ordered = F.array_sort(values)
+
+    def at(k: Column) -> Column:
+        return F.get(ordered, k.cast("int"))
+
+    return F.when(n % 2 == 1, at((n - 1) / 2)).otherwise((at(n / 2 - 1) + at(n / 2)) / 2)
+
+
 def validate_reconcile(a: DataFrame, b: DataFrame, tolerance: float = 1.0,
                        metrics: Sequence[str] = ("spend", "af_start_trial")) -> DataFrame:
     """Q4: per-date totals of ``a`` against ``b`` (both one row per fact_date); a metric is
@@ -112,3 +149,67 @@ def parity_samples(left: DataFrame, right: DataFrame, kind: str, n: int = 10,
         "mismatch": F.col("mismatch"),
     }[kind]
     return cmp.filter(flt).select(*keys).orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)
+
+
+# J7 over a tree of digests: whole tables > months > dates; rows are read of unequal dates only
+
+def date_digests(df: DataFrame, keys: Sequence[str] = PARITY_KEYS, values: Sequence[str] = PARITY_VALUES) -> DataFrame:
+    """A row for each ``fact_date``: rows, unique keys and an order-free digest of its normalised rows.
+
+    The digest is the count, the sum and the exclusive or of 64-bit hashes; it may be stored
+    with a table when that is written. Rows of one date are combined in every map task.
+    """
+    rows = _normalised(df, keys, values, True)
+    signed = [F.col(f"_v.{f.name}") + F.lit(0.0) if f.dataType.typeName() == "double" else F.col(f"_v.{f.name}")
+              for f in rows.schema["_v"].dataType.fields]  # -0.0 becomes 0.0
+    h = F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys], *[F.coalesce(c.cast("string"), F.lit("\0")) for c in signed])
+    by_key = rows.withColumn("_h", h).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("_h").cast("decimal(20,0)")).alias("s"), F.expr("bit_xor(_h)").alias("x"))
+    return by_key.groupBy("fact_date").agg(
+        F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("unique_keys"), F.sum("s").alias("digest_sum"), F.expr("bit_xor(x)").alias("digest_xor"))
+
+
+_DIGEST = ("row_count", "unique_keys", "digest_sum", "digest_xor")
+
+
+def unequal_nodes(left: DataFrame, right: DataFrame, level: str | None) -> DataFrame:
+    """Nodes of one level (``year``, ``month`` or None for dates) whose digests differ, from ``date_digests`` of both sides."""
+    node = F.col("fact_date") if level is None else F.trunc("fact_date", level)
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        return df.groupBy(node.alias("node")).agg(
+            F.sum("row_count").alias("row_count"), F.sum("unique_keys").alias("unique_keys"), F.sum("digest_sum").alias("digest_sum"),
+            F.expr("bit_xor(digest_xor)").alias("digest_xor")).select("node", F.struct(*_DIGEST).alias(tag))
+
+    lft, rgt = side(left, "l"), side(right, "r")
+    both = lft.join(rgt, lft.node.eqNullSafe(rgt.node), "full_outer").where(~F.col("l").eqNullSafe(F.col("r")))
+    return both.select(F.coalesce(lft.node, rgt.node).alias("node"))
+
+
+def export_parity_tree(left: DataFrame, right: DataFrame, keys: Sequence[str] = PARITY_KEYS, values: Sequence[str] = PARITY_VALUES,
+                       left_digests: DataFrame | None = None, right_digests: DataFrame | None = None) -> DataFrame:
+    """``export_parity`` that compares key by key only on dates whose digests differ, with ``unequal_months`` and ``unequal_dates``.
+
+    The list of unequal dates (at most the tables' days) becomes a filter on ``fact_date``, which
+    prunes partitions or row groups of stored tables. Digests that aren't given are made of the rows.
+    """
+    ld = date_digests(left, keys, values) if left_digests is None else left_digests
+    rd = date_digests(right, keys, values) if right_digests is None else right_digests
+    months = [r.node for r in unequal_nodes(ld, rd, "month").collect()]
+
+    def within(df: DataFrame, nodes: list, level: str | None) -> DataFrame:
+        at = F.col("fact_date") if level is None else F.trunc("fact_date", level)
+        known = at.isin([n for n in nodes if n is not None]) if any(n is not None for n in nodes) else F.lit(False)
+        return df.where(F.coalesce(known, F.lit(None in nodes)))
+
+    dates = [r.node for r in unequal_nodes(within(ld, months, "month"), within(rd, months, "month"), None).collect()]
+    compared = export_parity(within(left, dates, None), within(right, dates, None), keys, values).drop("parity_ok")
+    same = ld.where(~F.coalesce(F.col("fact_date").isin([d for d in dates if d is not None]) if dates else F.lit(False), F.lit(None in dates)))
+    equal = same.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"), F.coalesce(F.sum("unique_keys"), F.lit(0)).alias("keys"))
+    zero = F.lit(0)
+    total = compared.crossJoin(F.broadcast(equal)).select(  # one row each
+        *[(F.coalesce(f"{side}_row_count", zero) + F.col("rows")).cast("bigint").alias(f"{side}_row_count") for side in ("left", "right")],
+        *[(F.col(f"{side}_unique_keys") + F.col("keys")).cast("bigint").alias(f"{side}_unique_keys") for side in ("left", "right")],
+        "only_left", "only_right", "metric_mismatches",
+        F.lit(len(months)).cast("bigint").alias("unequal_months"), F.lit(len(dates)).cast("bigint").alias("unequal_dates"))
+    return total.withColumn("parity_ok", (F.col("only_left") == 0) & (F.col("only_right") == 0) & (F.col("metric_mismatches") == 0))

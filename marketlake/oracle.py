@@ -365,6 +365,15 @@ GROUP BY ALL HAVING row_count > 1""")
 query("validate_null_rates", "daily_acq", f"""
 SELECT report_date, count(*) AS row_count, {each('avg((@ IS NULL)::INT) AS @_null_rate', ('campaign', 'media_source', 'country'))}
 FROM daily_acq GROUP BY ALL""")
+view("null_rates", "daily_acq", """
+SELECT report_date, count(*) AS row_count, unnest(['campaign', 'media_source', 'country']) AS field,
+  unnest([avg((campaign IS NULL OR broken)::INT), avg((media_source IS NULL)::INT), avg((country IS NULL OR broken)::INT)]) AS null_rate
+FROM (SELECT *, coalesce((report_date - DATE '1970-01-01') % 45 = 0 AND length(media_source) > 0 AND app_key IS NOT NULL, false) AS broken FROM daily_acq)
+WHERE report_date IS NOT NULL GROUP BY report_date""")
+query("null_rate_spikes", "null_rates", """
+SELECT *, if(days_before >= 7, null_rate > usual + greatest(3 * 1.4826 * spread, 0.05), NULL) AS spike FROM (
+  SELECT *, count(*) OVER w::INT AS days_before, median(null_rate) OVER w AS usual, mad(null_rate) OVER w AS spread FROM null_rates
+  WINDOW w AS (PARTITION BY field ORDER BY report_date RANGE BETWEEN INTERVAL 28 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING))""")
 query("validate_top_campaigns", "daily_acq", """
 SELECT report_date, media_source, campaign, sum(cost) AS spend, sum(af_start_trial) AS start_trials FROM daily_acq GROUP BY ALL
 ORDER BY spend DESC, report_date NULLS LAST, media_source NULLS LAST, campaign NULLS LAST LIMIT 50""")
@@ -485,6 +494,10 @@ SELECT *, only_left + only_right + metric_mismatches = 0 AS parity_ok FROM (
 view("parity", "silver", _parity(_SILVER_KEYS))
 view("parity_six", "silver", _parity(_OLD_KEYS))
 query("export_parity", "parity", _parity_summary("parity"))
+_UNEQUAL = "FROM parity WHERE l <> r OR differs"
+query("export_parity_tree", "parity", f"""
+SELECT *, (SELECT count(DISTINCT fact_date) {_UNEQUAL}) AS unequal_dates, (SELECT count(DISTINCT date_trunc('month', fact_date)) {_UNEQUAL}) AS unequal_months
+FROM ({_parity_summary("parity")})""")
 query("export_parity_six_keys", "parity_six", _parity_summary("parity_six"))
 _BY_KEY = each("@ NULLS FIRST", _OLD_KEYS)
 query("export_parity_samples", "parity_six", " UNION ALL ".join(
