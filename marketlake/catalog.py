@@ -568,12 +568,16 @@ def land_documents(spark, sf_dir) -> tuple[str, str]:
 _LANDED: dict[tuple[str, str], tuple[str, str]] = {}
 
 
-def _scan_landing(spark, sf_dir):
-    """Scan of all bodies; the queries of one session share a landing (thousands of folders, a file each)."""
+def _landed(spark, sf_dir) -> tuple[str, str]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         _LANDED[key] = land_documents(spark, sf_dir)
-    lines, documents = _LANDED[key]
+    return _LANDED[key]
+
+
+def _scan_landing(spark, sf_dir):
+    """Scan of all bodies; the queries of one session share a landing (thousands of folders, a file each)."""
+    lines, documents = _landed(spark, sf_dir)
     return raw_json.raw_report_scan(spark, f"{lines}/*/dt=*/*.txt", body="lines").unionByName(
         raw_json.raw_report_scan(spark, f"{documents}/*/dt=*/*.txt", body="document", large_body=LARGE_BODY))
 
@@ -603,6 +607,39 @@ def q_raw_report_stream(spark, sf_dir):
     return spark.read.parquet(sink).select("_report_name", "_extract_date", "_payload")
 
 
+STREAM_FILES = 2000  # files of an epoch
+
+
+@query("raw_stream_ledger")
+def q_raw_stream_ledger(spark, sf_dir):
+    """One run over each landing, every epoch handled twice as after a failure: ledger rows, and the daily
+    cost that the epochs recompute for the dates they touch (the last recompute of a date counts)."""
+    from marketlake.streaming import raw_stream
+    store = _scratch(spark, "stream-store")
+    runs = iter(range(1, 1 << 30))
+
+    def recompute(dates, epoch_id):
+        raw = raw_stream.stored(spark, store, "raw").where(F.col("_report_name") == K.REPORT_PERFORMANCE)
+        touched = raw.join(dates.withColumnRenamed("fact_date", "_extract_date"), "_extract_date", "left_semi")
+        cost = marts.stage_performance(touched).groupBy("report_date").agg(F.sum(F.coalesce("cost", F.lit(0.0))).alias("cost"))
+        cost.write.parquet(f"{store}/cost/run={next(runs)}")
+
+    for source, root in zip(("lines", "document"), _landed(spark, sf_dir)):
+        once = raw_stream.ledger_handler(spark, store, source, recompute)
+
+        def twice(batch, epoch_id, once=once):
+            once(batch, epoch_id)
+            once(batch, epoch_id)
+
+        (raw_stream.raw_report_stream(spark, root, max_files_per_trigger=STREAM_FILES, body=source).writeStream
+         .foreachBatch(twice).option("checkpointLocation", _scratch(spark, "stream-ckpt")).trigger(availableNow=True)
+         .start().awaitTermination())
+    last = spark.read.parquet(f"{store}/cost").groupBy("report_date").agg(F.max_by("cost", "run").alias("cost")).select(
+        F.lit(K.REPORT_PERFORMANCE).alias("report_name"), F.col("report_date").alias("extract_date"), "cost")
+    ledger = raw_stream.stored(spark, store, "ledger").groupBy("report_name", "extract_date").agg(F.sum("row_count").alias("row_count"))
+    return ledger.join(last, ["report_name", "extract_date"], "left")
+
+
 PULL_CSV_HEADERS = (
     ("fact_date", "Date"), ("media_source", "Media Source (pid)"), ("campaign", "Campaign (c)"),
     ("adset", "Adset"), ("ad", "Ad"), ("installs", "Installs"), ("clicks", "Clicks"),

@@ -533,6 +533,10 @@ SELECT _report_name, _extract_date, sha256('{"extract_date":"' || _extract_date:
   || list_aggregate(list_sort(list_transform(json_keys(_payload), lambda k: '"' || k || '":' || (_payload->k)::VARCHAR)), 'string_agg', ',')
   || '},"report_name":"' || _report_name || '"}') AS _row_hash FROM landed""")
 query("batch_ledger", "landed", "SELECT _report_name AS report_name, _extract_date AS extract_date, 'loaded' AS status, count(*) AS row_count FROM landed GROUP BY ALL")
+query("raw_stream_ledger", "landed stg_perf", f"""
+FROM (SELECT _report_name AS report_name, _extract_date AS extract_date, count(*) AS row_count FROM landed GROUP BY ALL)
+LEFT JOIN (SELECT '{K.REPORT_PERFORMANCE}' AS report_name, report_date AS extract_date, coalesce(sum(cost), 0)::DOUBLE AS cost FROM stg_perf GROUP BY ALL)
+USING (report_name, extract_date)""")
 query("pull_csv_scan", "pull", f"""
 SELECT * EXCLUDE (ingest_seq, fetched_at) REPLACE ('{LA}' AS timezone, '{K.DEFAULT_REPORT_SEGMENT}' AS report_segment, campaign || ' "q", x' || chr(10) || 'y' AS campaign,
   if(report_segment = '{REATTR}', NULL, clicks) AS clicks)

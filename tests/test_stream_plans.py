@@ -78,3 +78,34 @@ def test_foreach_batch_recompute_sees_touched_dates(spark, tmp_dir):
          .option("checkpointLocation", f"{tmp_dir}/ck2").trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(seen) == ["2026-01-01", "2026-01-03"]
+
+
+def test_ledger_run_replays_without_effect(spark, tmp_dir):
+    root, store = f"{tmp_dir}/landing3", f"{tmp_dir}/store"
+    write(f"{root}/aggregated_performance/dt=2026-01-01/a.json", json.dumps([{"cost": 1}, {"cost": 2}]))
+    write(f"{root}/in_app_events/dt=2026-01-02/b.json", json.dumps({"rows": [{"event_name": "x"}]}))
+    seen = []
+
+    def run(max_files=None):
+        raw_stream.land_with_ledger(spark, root, store, f"{tmp_dir}/ck3", recompute=lambda d, e: seen.append(sorted(str(r[0]) for r in d.collect())),
+                                    max_files_per_trigger=max_files).awaitTermination()
+
+    def tables():
+        return ([sorted(map(tuple, raw_stream.stored(spark, store, t).drop("extract_started_at", "ingested_at").collect(), ), key=str)
+                 for t in ("raw", "ledger")])
+
+    run(1)
+    raw, ledger = tables()
+    assert len(raw) == 3 and sorted(r[-2] for r in ledger) == [1, 2]
+    assert sorted(seen) == [["2026-01-01"], ["2026-01-02"]]
+    run()  # nothing new
+    assert tables() == [raw, ledger]
+    # an epoch that is handled again replaces its own rows
+    batch = raw_json.raw_report_scan(spark, f"{root}/aggregated_performance/dt=*/*.json")
+    raw_stream.ledger_handler(spark, store, "again")(batch, 0)
+    once = tables()
+    raw_stream.ledger_handler(spark, store, "again")(batch, 0)
+    assert tables() == once and len(once[0]) == 5
+    write(f"{root}/aggregated_performance/dt=2026-01-01/late.json", json.dumps([{"cost": 3}]))
+    run()
+    assert seen[-1] == ["2026-01-01"] and len(tables()[0]) == 6
