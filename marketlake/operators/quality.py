@@ -197,19 +197,24 @@ def export_parity_tree(left: DataFrame, right: DataFrame, keys: Sequence[str] =
     rd = date_digests(right, keys, values) if right_digests is None else right_digests
     months = [r.node for r in unequal_nodes(ld, rd, "month").collect()]
 
-    def within(df: DataFrame, nodes: list, level: str | None) -> DataFrame:
+    def lies_in(nodes: list, level: str | None) -> Column:
         at = F.col("fact_date") if level is None else F.trunc("fact_date", level)
-        known = at.isin([n for n in nodes if n is not None]) if any(n is not None for n in nodes) else F.lit(False)
-        return df.where(F.coalesce(known, F.lit(None in nodes)))
+        known = [n for n in nodes if n is not None]
+        dated = F.coalesce(at.isin(known), F.lit(False)) if known else F.lit(False)
+        return dated | at.isNull() if None in nodes else dated
+
+    def within(df: DataFrame, nodes: list, level: str | None) -> DataFrame:
+        return df.where(lies_in(nodes, level))
 
     dates = [r.node for r in unequal_nodes(within(ld, months, "month"), within(rd, months, "month"), None).collect()]
     compared = export_parity(within(left, dates, None), within(right, dates, None), keys, values).drop("parity_ok")
-    same = ld.where(~F.coalesce(F.col("fact_date").isin([d for d in dates if d is not None]) if dates else F.lit(False), F.lit(None in dates)))
-    equal = same.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"), F.coalesce(F.sum("unique_keys"), F.lit(0)).alias("keys"))
-    zero = F.lit(0)
-    total = compared.crossJoin(F.broadcast(equal)).select(  # one row each
-        *[(F.coalesce(f"{side}_row_count", zero) + F.col("rows")).cast("bigint").alias(f"{side}_row_count") for side in ("left", "right")],
-        *[(F.col(f"{side}_unique_keys") + F.col("keys")).cast("bigint").alias(f"{side}_unique_keys") for side in ("left", "right")],
-        "only_left", "only_right", "metric_mismatches",
-        F.lit(len(months)).cast("bigint").alias("unequal_months"), F.lit(len(dates)).cast("bigint").alias("unequal_dates"))
-    return total.withColumn("parity_ok", (F.col("only_left") == 0) & (F.col("only_right") == 0) & (F.col("metric_mismatches") == 0))
+    same = ld.where(~lies_in(dates, None))
+    # what the equal dates hold, alike on both sides
+    sides = [f"{side}_{c}" for side in ("left", "right") for c in ("row_count", "unique_keys")]
+    equal = same.agg(*[F.sum(c.split("_", 1)[1]).cast("bigint").alias(c) for c in sides],
+                     *[F.lit(0).cast("bigint").alias(c) for c in ("only_left", "only_right", "metric_mismatches")])
+    both = compared.select(*equal.columns).unionByName(equal)
+    total = both.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in equal.columns])
+    return total.withColumns({
+        "unequal_months": F.lit(len(months)).cast("bigint"), "unequal_dates": F.lit(len(dates)).cast("bigint"),
+        "parity_ok": (F.col("only_left") == 0) & (F.col("only_right") == 0) & (F.col("metric_mismatches") == 0)})

@@ -2,7 +2,7 @@
 
 from marketlake import catalog
 
-FILE_QUERIES = {"raw_report_scan", "raw_lineage", "batch_ledger", "raw_report_stream", "pull_csv_scan", "raw_export",
+FILE_QUERIES = {"raw_report_scan", "raw_lineage", "batch_ledger", "raw_report_stream", "raw_stream_ledger", "pull_csv_scan", "raw_export",
                 "mcp_response_scan", "metric_column_identify"}
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")
 
