@@ -26,13 +26,20 @@ from .common import col, materialise
 Tree = dict[int, dict[int, dict[int, float]]]
 
 
-def grid(n_shards: int, racks: int = 4, per_rack: int = 5) -> Tree:
-    """``n_shards`` of weight 1: full regions first, the rest by ``grow``."""
+#: Shards that a tree is founded with; more come by ``grow``.
+FOUNDED = 40
+
+
+def grid(n_shards: int, racks: int = 4, per_rack: int = 5, founded: int = FOUNDED) -> Tree:
+    """``n_shards`` of weight 1: full regions up to ``founded`` shards, the rest by ``grow``.
+
+    From ``founded`` shards on, the tree of one more is ``grow`` of this one, whatever the count.
+    """
     size = racks * per_rack
     tree: Tree = {}
-    for r in range(n_shards // size):
+    for r in range(min(n_shards, founded) // size):
         tree[r] = {k: {r * size + k * per_rack + s: 1.0 for s in range(per_rack)} for k in range(racks)}
-    for _ in range(n_shards % size):
+    for _ in range(n_shards - len(tree) * size):
         tree = grow(tree)
     return tree
 

@@ -457,6 +457,12 @@ def test_sharding_moves_only_into_changed_subtrees(spark):
         assert grown.where(f"a != b and b != {n}").count() == 0 < grown.where("a != b").count()
 
 
+def test_tree_of_one_more_shard_is_grown():
+    for n in range(sharding.FOUNDED, 2 * sharding.FOUNDED + 5):
+        assert sharding.grid(n + 1) == sharding.grow(sharding.grid(n))
+    assert len(sharding.grid(sharding.FOUNDED)) == 2 and sharding.grid(7, founded=0) == sharding.grow(sharding.grid(6, founded=0))
+
+
 # ---- suffix-array dedup
 
 def brute_repeats(rows, length):
