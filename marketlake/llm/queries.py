@@ -119,5 +119,17 @@ FROM (SELECT *, CASE {case} END AS fit FROM (
   FROM (SELECT *, regexp_extract(coalesce(url, ''), '^.*?://(.*)$', 1, 's') AS rest FROM pages)))"""
 
 
+def _warc_sql() -> str:
+    letter = f"substr('{_UPPER}234567', ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)"
+    return f"""
+WITH told AS (SELECT page_id, url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+ranked AS (SELECT *, row_number() OVER w AS place, first_value(page_id) OVER w AS best FROM told
+  WINDOW w AS (PARTITION BY hex, payload_bytes ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST))
+SELECT page_id, payload_bytes, array_to_string([{letter} FOR i IN range(32)], '') AS payload_digest,
+  if(place = 1, 'response', 'revisit') AS record_type, if(place = 1, NULL, best) AS refers_to
+FROM ranked"""
+
+
 #: The others have no SQL: models, hashes, a tokenizer or byte-wise matching. tests/llm compares them with brute force.
-ORACLE_SQL: dict[str, str] = {"op1_topk": _topk_sql(), "op2_decontaminate": _decontaminate_sql(), "op6_url_filter": _urls_sql()}
+ORACLE_SQL: dict[str, str] = {"op1_topk": _topk_sql(), "op2_decontaminate": _decontaminate_sql(), "op6_url_filter": _urls_sql(),
+                              "op11_warc": _warc_sql()}
