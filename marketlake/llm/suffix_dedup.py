@@ -20,7 +20,8 @@ contexts of the same anchor gram. That makes the suffix sort distributed:
 
 Copies count once: texts are first grouped by their digest, and a context of
 many texts is one row from there on. An anchor whose distinct contexts exceed a
-block is not gathered: digests of its windows are counted by Spark instead.
+block is not gathered: their suffixes are sorted by the same difference cover
+over Spark's range sorts (``suffix_sort``), so no anchor has to fit a task.
 Context hashes are 64 bits within one anchor gram, text digests MD5.
 """
 
@@ -34,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import col, map_texts, materialise, small_batches
+from .suffix_sort import repeated_windows
 
 LENGTH = 400
 GRAM = 32
@@ -195,7 +197,6 @@ def _ranges(mask: np.ndarray) -> list[list[int]]:
 
 
 SOLVED = "anchor long, ctx long, ranges array<array<int>>"
-OPENED = "anchor long, ctx long, k int, h binary"
 
 
 def _sorter(length: int):
@@ -225,21 +226,6 @@ def _sorter(length: int):
     return run
 
 
-def _opener(length: int):
-    """Rows (anchor, ctx, copies, n, bytes) -> a digest of each window."""
-    schema = pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("k", pa.int32()), ("h", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for anchor, ctx, _, n, text in zip(*[b.column(k).to_pylist() for k in range(5)]):
-                digests = [hashlib.blake2b(text[k : k + length], digest_size=16).digest() for k in range(n)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([anchor] * n, pa.int64()), pa.array([ctx] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(digests, pa.binary())],
-                    schema=schema)
-
-    return run
-
-
 def _cut():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -296,10 +282,11 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int) ->
     keyed = bytes_.where("not large").select(*cols).repartition("anchor").sortWithinPartitions("anchor", "ctx")
     solved = materialise(keyed.mapInArrow(_sorter(length), SOLVED), "suffix-solved")
 
-    # anchors of more than a block: their windows are told by digest, wherever their contexts lie
-    opened = bytes_.where("large").select(*cols).mapInArrow(_opener(length), OPENED).distinct()
-    twice = opened.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    late = opened.join(twice, "h").groupBy("anchor", "ctx").agg(
+    # anchors of more than a block: the difference cover over Spark's own sorts
+    wide = bytes_.where("large").dropDuplicates(["anchor", "ctx"])
+    strings = materialise(wide.select(F.monotonically_increasing_id().alias("cid"), "anchor", "ctx", "n", F.col("bytes").alias("b")), "suffix-strings")
+    met_again = repeated_windows(strings.select("cid", "n", "b"), length)
+    late = met_again.join(strings.select("cid", "anchor", "ctx"), "cid").groupBy("anchor", "ctx").agg(
         F.transform(F.collect_list("k"), lambda k: F.array(k, k + 1)).alias("ranges"))
     many = ctx.join(large, "anchor").where("copies > 1").select("anchor", "ctx", F.array(F.array(F.lit(0), F.col("n"))).alias("ranges"))
     ranges = solved.where(F.size("ranges") > 0).unionByName(late).unionByName(many)
