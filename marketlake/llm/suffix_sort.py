@@ -36,7 +36,6 @@ from .common import materialise, scale_partitions
 
 #: Rows of one sorted range, up to ``RANGES`` ranges (larger ones spill).
 RANGE_ROWS, RANGES = 1 << 20, 10_000
-OF = ["cid", "size", "n"]
 
 
 def _places():
@@ -71,7 +70,7 @@ def _filled(size: int, pad: int, p: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def _each(df: DataFrame, make, fields: list[tuple[str, str, pa.DataType]]) -> DataFrame:
-    """Rows (cid, size, n and those of the list that ``make()`` returns a function for)."""
+    """Rows of cid and of the lists that the function of ``make()`` returns for each (cid, size, n, ...)."""
     spec = ", ".join(f"{name}:{sql}" for name, sql, _ in fields)
     names, kinds = [f[0] for f in fields], [f[2] for f in fields]
     at = df.columns
@@ -96,18 +95,20 @@ def _each(df: DataFrame, make, fields: list[tuple[str, str, pa.DataType]]) -> Da
             cols = [[x for part in c for x in part] if pa.types.is_binary(t) else np.concatenate(c) for c, t in zip(zip(*parts), kinds)]
             flat = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.ListArray.from_arrays(pa.array(stops, pa.int32()), flat)], names=[*OF, "out"])
+                [b.column(0), pa.ListArray.from_arrays(pa.array(stops, pa.int32()), flat)], names=["cid", "out"])
 
-    mapped = df.mapInArrow(run, f"cid long, size int, n int, out array<struct<{spec}>>")
-    return mapped.select(*OF, F.explode("out").alias("o")).select(*OF, "o.*")
+    mapped = df.mapInArrow(run, f"cid long, out array<struct<{spec}>>")
+    return mapped.select("cid", F.explode("out").alias("o")).select("cid", "o.*")
 
 
 LONG, INT = pa.int64(), pa.int32()
-TRIPLE = [("p", "int", INT), ("x", "long", LONG), ("y", "long", LONG), ("z", "long", LONG)]
+TRIPLE = [("q", "int", INT), ("x", "long", LONG), ("y", "long", LONG), ("z", "long", LONG)]
 
 
 def _triples(level: int):
-    """Triples of the symbols of ``level``, at the places of the next one."""
+    """Triples of the symbols of ``level``, at the places p of the next one.
+
+    q is 2 p, and 1 more where the way up asks for the triple's name."""
 
     def make():
         places, step = _places(), 3 ** level
@@ -115,7 +116,7 @@ def _triples(level: int):
         def f(size, n, text, own):
             s = _bytes(text, 2 * step, 1) if text is not None else _filled(size, 2 * step, own["p"], own["m"])
             p = places(level + 1, size)[0]
-            return p, s[p], s[p + step], s[p + 2 * step]
+            return 2 * p + (p < n + 6 * step), s[p], s[p + step], s[p + 2 * step]
 
         return f
 
@@ -153,63 +154,61 @@ def _ranges(df: DataFrame, rows: int, *keys: str) -> DataFrame:
 
 
 def _named(df: DataFrame, rows: int, label: str) -> DataFrame:
-    """Rows (cid, size, n, p, m): m is the dense rank of the triple among all."""
-    schema = pa.schema([*[(c, LONG if c == "cid" else INT) for c in OF], ("p", INT), ("part", INT), ("d", LONG),
-                        ("first", pa.list_(LONG)), ("last", pa.list_(LONG))])
+    """Rows (cid, q, m): m is the dense rank of the triple among all."""
+    schema = pa.schema([("cid", LONG), ("q", INT), ("part", INT), ("d", LONG), ("first", pa.list_(LONG)), ("last", pa.list_(LONG))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count, first, last = TaskContext.get().partitionId(), 0, None, None
         for b in batches:
             if not b.num_rows:
                 continue
-            keys = np.stack([b.column(k).to_numpy() for k in (4, 5, 6)])
+            keys = np.stack([b.column(k).to_numpy() for k in (2, 3, 4)])
             new = np.ones(b.num_rows, bool)
             new[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
             new[0] = last is None or keys[:, 0].tolist() != last
             d = count + np.cumsum(new)
             first, last, count = first or keys[:, 0].tolist(), keys[:, -1].tolist(), int(d[-1])
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(k) for k in range(4)], pa.array(np.full(len(d), part), INT), pa.array(d), pa.nulls(len(d), pa.list_(LONG)),
-                 pa.nulls(len(d), pa.list_(LONG))], schema=schema)
+                [b.column(0), b.column(1), pa.array(np.full(len(d), part), INT), pa.array(d), *[pa.nulls(len(d), pa.list_(LONG))] * 2],
+                schema=schema)
         if last is not None:  # what the next range has to know
             yield pa.RecordBatch.from_pylist([{"part": part, "d": count, "first": first, "last": last}], schema=schema)
 
-    sort = _ranges(df.select(*OF, "p", "x", "y", "z"), rows, "x", "y", "z", "cid", "p")
-    done = materialise(sort.mapInArrow(run, "cid long, size int, n int, p int, part int, d long, first array<long>, last array<long>"), label)
+    sort = _ranges(df.select("cid", "q", "x", "y", "z"), rows, "x", "y", "z", "cid", "q")
+    done = materialise(sort.mapInArrow(run, "cid long, q int, part int, d long, first array<long>, last array<long>"), label)
     offsets, total, before = [], 0, None
     for part, d, first, last in sorted(tuple(r) for r in done.where("cid is null").select("part", "d", "first", "last").collect()):
         total -= first == before
         offsets.append((part, total))
         total, before = total + d, last
     small = df.sparkSession.createDataFrame(offsets, "part int, off long")
-    return done.where("cid is not null").join(F.broadcast(small), "part").select(*OF, "p", (F.col("d") + F.col("off")).alias("m"))
+    return done.where("cid is not null").join(F.broadcast(small), "part").select("cid", "q", (F.col("d") + F.col("off")).alias("m"))
 
 
 def _merged(df: DataFrame, rows: int, label: str) -> DataFrame:
-    """Rows (cid, size, n, p, c, m): a place's rank is its largest c plus its largest m."""
-    schema = pa.schema([*[(c, LONG if c == "cid" else INT) for c in OF], ("p", INT), ("part", INT), ("w", INT), ("other", pa.bool_()),
-                        ("c", LONG), ("m", LONG)])
+    """Rows (cid, p, c, m): a place's rank is its largest c plus its largest m."""
+    schema = pa.schema([("cid", LONG), ("p", INT), ("part", INT), ("w", INT), ("other", pa.bool_()), ("c", LONG), ("m", LONG)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, state = TaskContext.get().partitionId(), {}
         for b in batches:
             for w in (0, 1):  # sorted by w first
-                rows = b.filter(pc.equal(b.column(4), w))
+                rows = b.filter(pc.equal(b.column(2), w))
                 if not rows.num_rows:
                     continue
-                r = rows.column(5).to_numpy()
+                r = rows.column(3).to_numpy()
                 count, top = state.get(w, (0, 0))
                 c = count + np.cumsum(r < 0)
                 m = np.maximum(np.maximum.accumulate(r), top)
                 state[w] = int(c[-1]), int(m[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [*[rows.column(k) for k in range(4)], pa.array(np.full(len(r), part), INT), rows.column(4), pa.array(r < 0), pa.array(c),
+                    [rows.column(0), rows.column(1), pa.array(np.full(len(r), part), INT), rows.column(2), pa.array(r < 0), pa.array(c),
                      pa.array(np.where(r < 0, m, r))], schema=schema)
         if state:
             yield pa.RecordBatch.from_pylist([{"part": part, "w": w, "c": c, "m": m} for w, (c, m) in state.items()], schema=schema)
 
-    sort = _ranges(df, rows, "w", "x", "y", "z", "cid", "p").select(*OF, "p", "w", "r")
-    done = materialise(sort.mapInArrow(run, "cid long, size int, n int, p int, part int, w int, other boolean, c long, m long"), label)
+    sort = _ranges(df, rows, "w", "x", "y", "z", "cid", "p").select("cid", "p", "w", "r")
+    done = materialise(sort.mapInArrow(run, "cid long, p int, part int, w int, other boolean, c long, m long"), label)
     offsets, state = [], {}
     for part, w, c, m in sorted(tuple(r) for r in done.where("cid is null").select("part", "w", "c", "m").collect()):
         count, top = state.get(w, (0, 0))
@@ -218,13 +217,15 @@ def _merged(df: DataFrame, rows: int, label: str) -> DataFrame:
     small = df.sparkSession.createDataFrame(offsets, "part int, w int, off long, top long")
     c = F.when(F.col("other") & (F.col("w") == 1), 0).otherwise(F.col("c") + F.col("off"))
     m = F.when(F.col("other"), F.greatest("m", "top")).otherwise(F.col("m"))
-    return done.where("cid is not null").join(F.broadcast(small), ["part", "w"]).select(*OF, "p", c.alias("c"), m.alias("m"))
+    return done.where("cid is not null").join(F.broadcast(small), ["part", "w"]).select("cid", "p", c.alias("c"), m.alias("m"))
 
 
 def _listed(rows: DataFrame, texts: DataFrame, *fields: str) -> DataFrame:
     """One row a text, those without a place included: its places are few (a text is of bounded length)."""
-    zero = texts.select(*OF, *[F.lit(0).cast(rows.schema[f].dataType).alias(f) for f in fields])
-    return rows.select(*OF, *fields).unionByName(zero).groupBy(*OF).agg(F.collect_list(F.struct(*fields)).alias("rows"))
+    none = F.lit(None).cast("int")
+    zero = texts.select("cid", "size", "n", *[F.lit(0).cast(rows.schema[f].dataType).alias(f) for f in fields])
+    return rows.select("cid", none.alias("size"), none.alias("n"), *fields).unionByName(zero).groupBy("cid").agg(
+        F.max("size").alias("size"), F.max("n").alias("n"), F.collect_list(F.struct(*fields)).alias("rows"))
 
 
 def _adjacent(df: DataFrame, rows: int, depth: int) -> DataFrame:
@@ -275,17 +276,19 @@ def repeated_windows(strings: DataFrame, depth: int) -> DataFrame:
     while 3 ** top < depth:
         top += 1
     size = lambda level: int(found[0] * (2 / 3) ** level)
+    place = F.shiftright("q", 1).alias("p")
     names = {}
     for level in range(2, top + 1):
-        src = s if level == 2 else _listed(names[level - 1], s, "p", "m")
+        src = s if level == 2 else _listed(names[level - 1].select("cid", place, "m"), s, "p", "m")
         names[level] = _named(_each(src, _triples(level - 1), TRIPLE), size(level), f"suffix-names-{level}")
-    ranks = names[top].withColumn("c", F.lit(0).cast("long"))
-    keyed = [TRIPLE[0], ("w", "int", INT), *TRIPLE[1:], ("r", "long", LONG)]
+    zero = F.lit(0).cast("long").alias("c")
+    ranks = names[top].select("cid", place, zero, "m")
+    keyed = [("p", "int", INT), ("w", "int", INT), *TRIPLE[1:], ("r", "long", LONG)]
     for level in range(top - 1, -1, -1):
         rows = ranks.withColumn("kind", F.lit(1))
         if level >= 2:
-            symbols = names[level].where(F.col("p") < F.col("n") + 2 * 3 ** level)
-            rows = rows.unionByName(symbols.withColumn("c", F.lit(0).cast("long")).withColumn("kind", F.lit(0)))
+            symbols = names[level].where(F.col("q") % 2 == 1).select("cid", place, zero, "m")
+            rows = rows.unionByName(symbols.withColumn("kind", F.lit(0)))
         listed = _listed(rows, s, "kind", "p", "c", "m")
         if level < 2:
             listed = listed.join(s.select("cid", "b"), "cid")
