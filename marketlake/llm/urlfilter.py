@@ -18,10 +18,28 @@ from .common import map_texts
 
 #: (verdict, host, path). Fixed values.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Terms of the vocabulary. Fixed values of this library.
-STRICT = ("porn", "xxx", "adult-x", "casino-win", "cheap-pills", "spam-farm", "viagra", "malware", "warez", "phishing")
-SOFT = ("adult", "ads", "bet", "bets", "bonus", "casino", "cheap", "click", "crack", "farm", "free", "pills", "poker",
-        "spam", "track", "win")
+#: Terms of the vocabulary, by topic. Fixed values of this library. A strict term has hardly a harmless meaning in a url;
+#: a soft one has, so one alone says nothing.
+STRICT = tuple("""
+porn porno pornhub pornstar pornstars xxx xnxx hentai milf camgirl camgirls sexcam sexcams livesex sex-chat adult-x adultfriend escort-girls
+casino-win online-casino casino-bonus free-spins slot-online slots-online sportsbook betting-tips poker-online togel judi
+cheap-pills viagra cialis levitra tramadol xanax-online buy-pills no-prescription
+spam-farm link-farm linkfarm doorway-page backlinks-cheap buy-backlinks clickbait-farm
+malware phishing ransomware keylogger botnet trojan-download exploit-kit carding cvv-shop
+warez keygen keygens serialz nulled cracked-apk torrent-cracks
+get-rich-quick payday-loan payday-loans work-from-home-cash double-your-bitcoin crypto-giveaway
+replica-watches fake-passport fake-id essay-mill
+""".split())
+SOFT = tuple("""
+adult sex sexy nude nudes naked erotic escort escorts fetish webcam cams dating hookup hookups singles amateur
+bet bets betting bookmaker casino casinos gamble gambling jackpot lottery poker roulette slot slots spin spins wager win winner
+pills pill pharmacy pharma diet slimming steroids weightloss meds
+ads ad adserver adclick affiliate banner bonus click clicks coupon coupons deal deals discount popup popunder promo prize prizes redirect
+sweepstakes track tracker tracking
+cheap free giveaway cash earn loan loans credit debt forex bitcoin crypto airdrop investment profit rich mlm
+crack cracks cracked serial torrent torrents hack hacks cheat cheats apk mod download downloads proxy unblocked
+farm spam spammer seo backlink backlinks replica
+""".split())
 REJECT = 2
 WEIGHTS = {**{t: 1 for t in SOFT}, **{t: REJECT for t in STRICT}}
 
