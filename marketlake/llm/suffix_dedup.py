@@ -122,31 +122,53 @@ def _runs(length: int):
     return batch
 
 
-def suffix_array(s: np.ndarray, depth: int, told: int = 1) -> np.ndarray:
+def _names(keys: np.ndarray) -> np.ndarray:
+    """Dense ranks of numbers, from 1; by a table where that is less work than a sort."""
+    most = int(keys.max(initial=0)) + 1
+    if most > 8 * len(keys) + 256:
+        return np.unique(keys, return_inverse=True)[1].astype(np.int64) + 1
+    met = np.zeros(most, bool)
+    met[keys] = True
+    return np.cumsum(met)[keys]
+
+
+def suffix_array(s: np.ndarray, depth: int, told: int = 1, want: np.ndarray | None = None) -> np.ndarray:
     """Suffixes of ``s`` (numbers above 0) in order of their first ``depth`` symbols at least.
 
     Difference cover modulo 3. ``told`` is how many of the first symbols one name
     of this level stands for: names that stand for ``depth`` need no more sorting.
+    ``want`` marks the suffixes that are asked for (none given: all); only these
+    and the ones two places on, which they are compared by, take part in merges.
     """
     n = len(s)
+    want = np.ones(n, bool) if want is None else want
     if n < 3:
-        return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), np.int64)
+        return np.array(sorted(np.flatnonzero(want).tolist(), key=lambda i: s[i:].tolist()), np.int64)
     t = np.concatenate([s.astype(np.int64), np.zeros(3, np.int64)])
     one, two = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate([one, two])
     size = int(t.max()) + 1
-    triples = (t[sample] * size + t[sample + 1]) * size + t[sample + 2]
-    names = np.unique(triples, return_inverse=True)[1].astype(np.int64) + 1
+    width = n + 3
+    pair = t[:-1] * size + t[1:]
+    if size * size * max(size, width) >= 1 << 63:  # no room for a third number beside
+        pair = _names(pair)
+    names = _names(pair[sample] * size + t[sample + 2])
+    need = np.zeros(n + 2, bool)
+    for k in range(3):
+        need[k : k + n] |= want
+    need = need[sample]
     if names.max() == len(sample) or told * 3 >= depth:
-        order = np.argsort(names, kind="stable")
+        order = np.flatnonzero(need)
+        order = order[np.argsort(names[order], kind="stable")]
     else:
-        order = suffix_array(names, depth, told * 3)
+        order = suffix_array(names, depth, told * 3, need)
     rank = np.zeros(n + 3, np.int64)
     rank[sample[order]] = np.arange(1, len(order) + 1)
     sorted12 = sample[order]
     sorted12 = sorted12[sorted12 < n]
-    width = n + 3
+    sorted12 = sorted12[want[sorted12]]
     zero = np.arange(0, n, 3)
+    zero = zero[want[zero]]
     key0 = t[zero] * width + rank[zero + 1]
     o = np.argsort(key0, kind="stable")
     zero, key0 = zero[o], key0[o]
@@ -154,13 +176,12 @@ def suffix_array(s: np.ndarray, depth: int, told: int = 1) -> np.ndarray:
     is1 = sorted12 % 3 == 1
     c1, c2 = sorted12[is1], sorted12[~is1]
     before = np.searchsorted(t[c1] * width + rank[c1 + 1], key0)
-    pair = t[:-1] * size + t[1:]
     before += np.searchsorted(pair[c2] * width + rank[c2 + 2], pair[zero] * width + rank[zero + 2])
     # suffixes equal to the full depth may compare either way; their places must still rise
     before = np.maximum.accumulate(before)
-    out = np.empty(n, np.int64)
+    out = np.empty(len(zero) + len(sorted12), np.int64)
     at = before + np.arange(len(zero))
-    rest = np.ones(n, bool)
+    rest = np.ones(len(out), bool)
     rest[at] = False
     out[at] = zero
     out[rest] = sorted12
@@ -176,8 +197,7 @@ def repeated(contexts: list[bytes], starts: list[int], length: int = LENGTH) ->
     own = np.zeros(n, bool)
     place = np.repeat(begins, starts) + np.arange(starts.sum()) - np.repeat(np.cumsum(starts) - starts, starts)
     own[place] = True
-    sa = suffix_array(text[:n].astype(np.int64) + 1, length)
-    sa = sa[own[sa]]
+    sa = suffix_array(_names(text[:n]), length, want=own)
     a, b = sa[:-1], sa[1:]
     words = np.zeros(n + 1, np.uint64)
     for k in range(8):

@@ -491,6 +491,17 @@ def test_suffix_array():
         assert sorted(deep) == list(range(len(s)))
         cut = [s[i:i + 5].tolist() for i in deep]
         assert cut == sorted(cut)
+        want = np.array([rng.random() < 0.4 for _ in s])
+        some = suffix_dedup.suffix_array(s, 5, want=want).tolist()
+        assert sorted(some) == np.flatnonzero(want).tolist()
+        cut = [s[i:i + 5].tolist() for i in some]
+        assert cut == sorted(cut)
+
+
+def test_suffix_array_of_large_numbers():
+    rng = np.random.default_rng(3)
+    s = rng.integers(1, 1 << 31, 50)[rng.integers(0, 50, 300)]
+    assert suffix_dedup.suffix_array(s, 10 ** 9).tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
 
 
 def test_suffix_dedup_table(spark, texts):
