@@ -1,10 +1,11 @@
 """Exact top-k search by inner product over an impact-ordered index.
 
 Vectors are integers. Candidates are cut into blocks by a hash of their id and
-queries into blocks of their own; one task holds one pair of blocks, so memory
-has a bound whatever the number of vectors. Each candidate block is indexed: per
-dimension the vectors stand in order of their quantised component, so equal
-levels form posting segments.
+queries into groups of their own; one task holds one block and one group, so
+memory has a bound whatever the number of vectors. A block is indexed once for
+a group of up to ``QUERIES`` queries (smaller groups only while blocks are too
+few to keep all cores busy): per dimension the vectors stand in order of their
+quantised component, so equal levels form posting segments.
 
 A query takes segments score at a time: all segments whose quantised impact
 reaches a falling threshold, over all dimensions. An accumulator has what a
@@ -23,7 +24,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import col
 
 SCALE = 1024
-CANDIDATES, QUERIES = 16384, 512
+CANDIDATES, QUERIES = 16384, 8192
+LEAST_QUERIES = 512  # a smaller group isn't worth another index of its block
 LEVELS, ROUNDS = 64, 3
 
 
@@ -98,6 +100,12 @@ def _cell(k: int):
     return run
 
 
+def query_groups(queries: int, blocks: int, cores: int) -> int:
+    """Groups that the queries are cut into: at most ``QUERIES`` in each (on average), more groups where blocks leave cores idle."""
+    idle = min(-(-queries // LEAST_QUERIES), -(-cores // blocks))
+    return max(1, -(-queries // QUERIES), idle)
+
+
 def top_k(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 100, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best of each query, the vectors whose id divides by ``every``.
 
@@ -111,7 +119,8 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
     ints = ok.select("id", F.transform("x", lambda x: F.floor(x * SCALE).cast("long")).alias("v"))
     ints = ints.dropDuplicates().withColumn("d", F.size("v"))
     n = ints.agg(F.count(F.lit(1)), F.count(F.when(F.col("id") % every == 0, 1))).first()
-    blocks, groups = max(1, -(-n[0] // CANDIDATES)), max(1, -(-n[1] // QUERIES))
+    blocks = max(1, -(-n[0] // CANDIDATES))
+    groups = query_groups(n[1], blocks, vectors.sparkSession.sparkContext.defaultParallelism)
     at = F.xxhash64("id")
     queries = ints.where(F.col("id") % every == 0)
     left = ints.withColumn("b", F.pmod(at, F.lit(blocks))).withColumn("g", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
