@@ -1,6 +1,7 @@
 """The operators against brute force, on edge rows and on a whole small table."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -73,6 +74,19 @@ def test_topk_table(spark):
     assert got == brute_topk(rows, 100, 10)
 
 
+def test_topk_query_groups(spark, monkeypatch):
+    # an index of each block for every 8,192 queries; more only where blocks leave cores idle
+    assert [topk.query_groups(q, b, c) for q, b, c in [(0, 1, 8), (1, 1, 8), (513, 4, 6), (513, 1, 8), (8192, 900, 8), (8193, 900, 8)]] == [
+        1, 1, 2, 2, 1, 2]
+    monkeypatch.setattr(topk, "CANDIDATES", 40)
+    rows = [(i, [((i * 7 + d * 3) % 11 - 5) / 8 for d in range(6)]) for i in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for most in (8, 1000):  # many cells, then one group of all queries
+        monkeypatch.setattr(topk, "QUERIES", most)
+        got = {tuple(r) for r in topk.top_k(df, every=5, k=4).select("query_id", "rank", "vec_id", "score").collect()}
+        assert got == brute_topk(rows, 5, 4)
+
+
 def test_topk_stops_on_proof_only():
     rng = np.random.default_rng(1)
     vectors = rng.integers(-300, 300, (3000, 12))
@@ -192,6 +206,90 @@ def test_quality(spark, edges, empty):
     assert quality.score(empty, labels, ["doc_id"]).count() == 0
 
 
+def brute_features(text):
+    """Counts of buckets of a text: a loop over words and bytes."""
+    grams, mult = (t.tolist() for t in quality._tables())
+    found, last = Counter(), None
+    for w in re.split(rb"[ \t\n\x0b\x0c\r]+", text or b""):
+        if not w:
+            continue
+        h = 0
+        for k, c in enumerate(w):
+            power = (2 * k + 1) * 0x9E3779B97F4A7C15 % 2**64
+            h += mult[c] * (power ^ power >> 31)
+        h %= 2**64
+        found[(h ^ h >> 32) % quality.BUCKETS] += 1
+        found[0] += w == last
+        last = w
+        padded = b" " + w + b" "
+        for size in (3, 4):
+            for k in range(len(padded) - size + 1):
+                g = 0
+                for t, c in zip(grams, padded[k:k + size]):
+                    g ^= t[c]
+                found[g % quality.BUCKETS] += 1
+    return +found
+
+
+def brute_model(sample):
+    """Embeddings, layer and bias by gradient descent over (features, label) pairs, a number at a time."""
+    dim = quality.DIM
+    rng = np.random.default_rng(7)
+    emb = rng.uniform(-1 / dim, 1 / dim, (quality.BUCKETS, dim))
+    emb = {b: emb[b].tolist() for f, _ in sample for b in f} | {-1: emb}
+    layer, bias, step = [[0.0] * dim, [0.0] * dim], [0.0, 0.0], 0
+    for _ in range(quality.EPOCHS):
+        for i in rng.permutation(len(sample)).tolist():
+            rate = quality.RATE * (1 - step / (quality.EPOCHS * len(sample)))
+            step += 1
+            counts, label = sample[i]
+            total = sum(counts.values())
+            hidden = [sum(n / total * emb[b][d] for b, n in counts.items()) for d in range(dim)]
+            z = [sum(w * h for w, h in zip(row, hidden)) + b for row, b in zip(layer, bias)]
+            e = [math.exp(v - max(z)) for v in z]
+            loss = [v / sum(e) - (c == label) for c, v in enumerate(e)]
+            back = [sum(loss[c] * layer[c][d] for c in (0, 1)) for d in range(dim)]
+            for c in (0, 1):
+                layer[c] = [w - rate * loss[c] * h for w, h in zip(layer[c], hidden)]
+                bias[c] -= rate * 0.1 * loss[c]
+            for b, n in counts.items():
+                emb[b] = [v - rate * min(n / total * 40, 1) * g for v, g in zip(emb[b], back)]
+    return emb, layer, bias
+
+
+def brute_score(text, model):
+    emb, layer, bias = model
+    counts = brute_features(text)
+    total = sum(counts.values())
+    hidden = [sum(n / total * (emb[b] if b in emb else emb[-1][b])[d] for b, n in counts.items()) for d in range(quality.DIM)]
+    z = [sum(w * h for w, h in zip(row, hidden)) + b for row, b in zip(layer, bias)]
+    return 1 / (1 + math.exp(z[0] - z[1]))
+
+
+def test_quality_scores_against_brute_force(spark, edges):
+    import struct
+
+    import xxhash
+
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    marks = {r.doc_id: r.quality for r in labels.collect() if r.quality in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    signed = lambda i: struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(struct.pack("<q", i), 42)))
+    chosen = sorted(marks, key=lambda i: (signed(i), i))[:30]
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    model = brute_model([(brute_features(texts[i]), marks[i]) for i in chosen])
+    got = {r.row.doc_id: r.score for r in quality.score(docs, labels, ["doc_id"], max_train=30).collect()}
+    assert set(got) == set(texts) and {marks[i] for i in chosen} == {0, 1}
+    near = sorted(texts)[::10]  # the brute force is slow: a tenth of the rows, and the edge rows below
+    assert np.allclose([got[i] for i in near], [brute_score(texts[i], model) for i in near], rtol=0, atol=1e-9)
+    assert len({round(got[i], 6) for i in near}) > len(near) // 2
+    both = docs.select("doc_id", "text").union(edges.select(F.col("doc_id") + 10**9, "text"))
+    rows = [r for r in quality.score(both, labels, ["doc_id", "text"], max_train=30).collect() if r.row.doc_id is None or r.row.doc_id >= 10**9]
+    assert len(rows) == len(EDGES)
+    for r in rows:
+        assert abs(r.score - brute_score((r.row.text or "").encode(), model)) < 1e-9
+
+
 def test_quality_sample_is_of_documents(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(quality, "train", lambda texts, y: seen.append(dict(zip(texts, y, strict=True))))
