@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 from marketlake import constants as K
 from marketlake.functions import attribution_model_of, base_kpi_of, is_ad_grain
 from marketlake.operators.latest import ascending_number, descending, keep_preferred
+from marketlake.session import scratch_path
 
 ADSET_GRAIN_DIMS = ("media_source", "campaign", "adset", "ad")
 AD_GRAIN_DIMS = ("media_source", "campaign", "ad")
+BROADCAST_ROWS = 500_000  # short rows (a KPI name, two dates, a rank) that every executor may hold
 SOURCE_VALUE_COLS = ("metric_value", "installs", "cost", "currency", "fetched_at")
 
 
@@ -207,8 +210,16 @@ def backfill_attribution_model(old_silver: DataFrame, key_dims: Sequence[str] =
 
 def grain_fallback(source: DataFrame, grain_col: str = "grain_rank") -> DataFrame:
     """M3: per (kpi_name, fetch window) keep only the rows of the most preferred grouping
-    (smallest ``grain_rank``) that returned rows."""
+    (smallest ``grain_rank``) that returned rows.
+
+    The best groupings, a row for each window, are written and counted first: up to ``BROADCAST_ROWS``
+    they are broadcast, so that no source row is shuffled; more are met by a shuffled join."""
     keys = ["kpi_name", "fetch_window_from", "fetch_window_to"]
-    # one small row per window; AQE broadcasts it when measured small
+    spark = source.sparkSession
     best = source.groupBy(*keys).agg(F.min(grain_col).alias(grain_col))
-    return source.join(best, [*keys, grain_col], "left_semi")
+    path = scratch_path(spark, f"best-grain-{uuid.uuid4().hex}")
+    best.write.parquet(path)
+    stored = spark.read.schema(best.schema).parquet(path)
+    if stored.count() <= BROADCAST_ROWS:
+        stored = F.broadcast(stored)
+    return source.join(stored, [*keys, grain_col], "left_semi")

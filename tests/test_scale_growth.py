@@ -37,3 +37,20 @@ def test_strip_without_regex(spark):
     points = [(chr(i),) for i in range(1, 0x3100)]
     rows = spark.createDataFrame(points, "c string").select(F.concat("c", F.lit("a "), "c", F.lit("b"), "c", F.lit("\r\n")).alias("t"))
     assert rows.where(~c.eqNullSafe(F.regexp_replace("t", r"(?U)^\s+|\s+$", ""))).count() == 0
+
+
+SOURCE = ("kpi_name string, fetch_window_from date, fetch_window_to date, grain_rank int, v int")
+
+
+def test_grain_fallback_sends_no_source_row(spark, monkeypatch):
+    import datetime as dt
+
+    from marketlake.operators import silver
+    d, e = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+    rows = [("k", d, e, 1, 1), ("k", d, e, 0, 2), ("k", d, e, 0, 3), ("j", d, e, 3, 4), ("j", d, e, None, 5), (None, d, e, 0, 6), ("k", e, None, 0, 7)]
+    source = spark.createDataFrame(rows, SOURCE)
+    df = silver.grain_fallback(source)
+    assert "hashpartitioning(kpi_name" not in df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.v for r in df.collect()) == [2, 3, 4]
+    monkeypatch.setattr(silver, "BROADCAST_ROWS", 0)
+    assert sorted(r.v for r in silver.grain_fallback(source).collect()) == [2, 3, 4]
