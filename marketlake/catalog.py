@@ -382,7 +382,7 @@ def _odd_day():
 
 @query("source_upsert")
 def q_source_upsert(spark, sf_dir):
-    mcp = Inputs(spark, sf_dir).mcp.withColumn("ingest_seq", F.lit(1))
+    mcp = Inputs(spark, sf_dir).mcp_by_key.withColumn("ingest_seq", F.lit(1))
     later = (mcp.filter(_odd_day()).withColumn("metric_value", F.col("metric_value") + 1)
              .withColumn("fetched_at", F.concat("fetched_at", F.lit("-refetch"))).withColumn("ingest_seq", F.lit(2)))
     return upserts.source_upsert(mcp, later)

@@ -54,3 +54,25 @@ def test_grain_fallback_sends_no_source_row(spark, monkeypatch):
     assert sorted(r.v for r in df.collect()) == [2, 3, 4]
     monkeypatch.setattr(silver, "BROADCAST_ROWS", 0)
     assert sorted(r.v for r in silver.grain_fallback(source).collect()) == [2, 3, 4]
+
+
+def orders(spark, path, n):
+    day = F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 5).cast("int")).cast("timestamp")
+    spark.range(n).select(
+        F.col("id").alias("o_orderkey"), F.when(F.col("id") % 7 > 0, F.col("id") % 90).alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        (F.col("id") * 1.5).alias("o_totalprice"), F.when(F.col("id") % 11 > 0, day).alias("o_orderdate")).write.parquet(f"{path}/orders.parquet")
+    return path
+
+
+def test_orders_are_dealt_by_key_before_their_fan_out(spark, tmp_dir, monkeypatch):
+    from marketlake import catalog
+    from marketlake.sources import adapters
+    d = orders(spark, tmp_dir, 400)
+    want = sorted(map(str, adapters.Inputs(spark, d).mcp.collect()))
+    upserted = sorted(map(str, catalog.QUERIES["source_upsert"](spark, d).collect()))
+    monkeypatch.setattr(adapters, "ORDERS_A_TASK", 100)
+    assert sorted(map(str, adapters.Inputs(spark, d).mcp_by_key.collect())) == want and len(want) == 7200
+    df = catalog.QUERIES["source_upsert"](spark, d)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(" in plan and not [x for x in plan.splitlines() if "Exchange" in x and "kpi_name" in x]  # no KPI row is sent
+    assert sorted(map(str, df.collect())) == upserted
