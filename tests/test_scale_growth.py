@@ -76,3 +76,10 @@ def test_orders_are_dealt_by_key_before_their_fan_out(spark, tmp_dir, monkeypatc
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(" in plan and not [x for x in plan.splitlines() if "Exchange" in x and "kpi_name" in x]  # no KPI row is sent
     assert sorted(map(str, df.collect())) == upserted
+
+
+def test_silver_is_computed_once(spark, tmp_dir):
+    from marketlake import catalog
+    d = orders(spark, tmp_dir, 60)
+    df = catalog.QUERIES["export_parity_samples"](spark, d)
+    assert "explode" not in df._jdf.queryExecution().optimizedPlan().toString()
