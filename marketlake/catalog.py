@@ -146,14 +146,14 @@ def q_activity_adset_daily(spark, sf_dir):
 
 @query("growth_ad_daily")
 def q_growth_ad_daily(spark, sf_dir):
-    m = Model(spark, sf_dir)
-    return gold.scaled_ad_daily(m.pull, m.silver_ad, None, K.MODEL_LTV, m.tz)
+    m = Model(spark, sf_dir, by_key=True)
+    return gold.scaled_ad_daily(m.pull, _stored(spark, m.silver_ad, "growth-silver-ad"), None, K.MODEL_LTV, m.tz)
 
 
 @query("activity_ad_daily")
 def q_activity_ad_daily(spark, sf_dir):
-    m = Model(spark, sf_dir)
-    return gold.scaled_ad_daily(m.pull, m.silver_ad, None, K.MODEL_ACTIVITY, m.tz)
+    m = Model(spark, sf_dir, by_key=True)
+    return gold.scaled_ad_daily(m.pull, _stored(spark, m.silver_ad, "activity-silver-ad"), None, K.MODEL_ACTIVITY, m.tz)
 
 
 @query("growth_fact_rows")

@@ -83,3 +83,6 @@ def test_silver_is_computed_once(spark, tmp_dir):
     d = orders(spark, tmp_dir, 60)
     df = catalog.QUERIES["export_parity_samples"](spark, d)
     assert "explode" not in df._jdf.queryExecution().optimizedPlan().toString()
+    for name in ("growth_ad_daily", "activity_ad_daily"):
+        df = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert "explode" not in df._jdf.queryExecution().optimizedPlan().toString(), name
