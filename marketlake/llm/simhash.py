@@ -112,7 +112,8 @@ def links(nodes: DataFrame) -> DataFrame:
         f"explode(concat({_keys('fp', 32, 32, 0)}, {_keys('fp', 32, 0, 1)})) as k")).select("fp", "k.*")
     key = ["tag", "pos", "rest"]
     sizes = idx.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    idx = materialise(idx.join(sizes, key), "simhash-index")
+    # merged: Spark sizes rows behind an explode as if there were one of 66, and would broadcast gigabytes
+    idx = materialise(idx.hint("merge").join(sizes.hint("merge"), key), "simhash-index")
     small = _pairs(idx.where(F.col("n") <= MAX_BUCKET), key)
     big = idx.where(F.col("n") > MAX_BUCKET).select("fp", F.col("tag").alias("t1"), F.col("pos").alias("p1"),
                                                     F.col("rest").alias("r1"), F.col("bit").alias("b1"))
@@ -134,7 +135,7 @@ def _refined(big: DataFrame) -> DataFrame:
     outer = ((F.col("a.b1") == -1) & (F.col("b.b1") == -1)) | ((F.col("a.b1") == 0) & (F.col("b.b1") == 1))
     inner = ((F.col("a.bit") == -1) & (F.col("b.bit") == -1)) | (F.col("a.bit") + F.col("b.bit") == 1)
     differ = (F.col("a.b1") != -1) | (F.col("a.fp") < F.col("b.fp"))
-    pairs = a.join(b, cond & outer & inner & differ & distance)
+    pairs = a.hint("merge").join(b.hint("merge"), cond & outer & inner & differ & distance)  # exploded: sized too low
     return pairs.select(F.least("a.fp", "b.fp").alias("x"), F.greatest("a.fp", "b.fp").alias("y"))
 
 
